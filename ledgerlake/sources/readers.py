@@ -55,9 +55,14 @@ def read_csv_tolerant(
     )
 
 
-# Encodings in the order they are tried, with the names the CSV reader uses.
+# Encodings in the order they are tried.
 ENCODINGS = ("UTF-8", "UTF-16", "windows-1252", "ISO-8859-1")
 
+# windows-1252 differs from ISO-8859-1 only in these bytes.
+_C1 = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+_LATIN1_CHARS = "".join(map(chr, _C1))
+_CP1252_CHARS = bytes(_C1).decode("cp1252")
+
 
 def detect_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row per file with the first encoding its bytes allow.
@@ -90,11 +95,24 @@ def read_csv_any_encoding(spark: SparkSession, path: str | Sequence[str]) -> Dat
     found = detect_encodings(spark, path).groupBy("encoding").agg(F.collect_list("path").alias("paths"))
     parts = []
     for row in found.orderBy("encoding").toLocalIterator():
-        reader = spark.read.option("header", True).option("encoding", row["encoding"])
+        cp1252 = row["encoding"] == "windows-1252"
+        reader = spark.read.option("header", True)
+        reader = reader.option("encoding", "ISO-8859-1" if cp1252 else row["encoding"])
         if row["encoding"] == "UTF-16":
             reader = reader.option("multiLine", True)
         part = reader.csv(row["paths"])
-        parts.append(part.toDF(*[c.lstrip("﻿") for c in part.columns]))
+        part = part.toDF(*[c.lstrip("\ufeff") for c in part.columns])
+        if cp1252:
+            # the CSV reader has no windows-1252; map the 27 differing characters afterwards
+            part = part.select(
+                *[
+                    F.translate(F.col(f"`{c}`"), _LATIN1_CHARS, _CP1252_CHARS).alias(
+                        c.translate(str.maketrans(_LATIN1_CHARS, _CP1252_CHARS))
+                    )
+                    for c in part.columns
+                ]
+            )
+        parts.append(part)
     if not parts:
         raise FileNotFoundError(f"no files under {path}")
     return union_evolving(parts)
