@@ -40,13 +40,20 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str], max_rows: int
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+# text formats keep microseconds
+_TEXT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _save(writer, path: str, fmt: str) -> None:
     if fmt == "parquet":
         writer.option("compression", "snappy").parquet(path)
     elif fmt == "csv":
-        writer.option("header", True).option("escape", "\\").csv(path)
+        writer.options(**_TEXT_TIMES).option("header", True).option("escape", "\\").csv(path)
     elif fmt == "json":
-        writer.json(path)
+        writer.options(**_TEXT_TIMES).json(path)
     else:
         raise ValueError(f"unknown format {fmt}")
 
