@@ -54,12 +54,14 @@ def any_consent() -> Column:
     return F.coalesce(F.greatest(*[F.col(c) for c in CONSENTS]), F.lit(False))
 
 
-def first_funded_accounts(tables: Tables, today: dt.date, default_brand: str, days: int = 3) -> DataFrame:
+def first_funded_accounts(
+    tables: Tables, today: dt.date, default_brand: str, days: int = 3, since: str = SINCE
+) -> DataFrame:
     """Approved customers whose first funded account got its first deposit in the last days.
 
     Needs ``customers``, ``clients``, ``deposit_accounts``, ``deposit_transactions`` and ``timeline``.
     """
-    history = tables["customers"].filter(F.col(UPDATED) >= F.lit(SINCE).cast("timestamp"))
+    history = tables["customers"].filter(F.col(UPDATED) >= F.lit(since).cast("timestamp"))
     keyed = history.withColumn("user_id", customer_id(history))
     approved = latest_per_key(keyed, "user_id", change_order(history)).filter(F.col(STATUS) == "APPROVED")
     customers = approved.select(

@@ -19,10 +19,10 @@ SINCE = dt.date(2021, 7, 1)
 RATE = "interest_settings_interest_rate_settings_interest_rate_tiers_{}_interest_rate"
 
 
-def postings(transactions: DataFrame, kind: str) -> DataFrame:
+def postings(transactions: DataFrame, kind: str, since: dt.date = SINCE) -> DataFrame:
     """Latest extract of each posting of one type since the start date."""
     wanted = transactions.filter(F.col("creation_date").isNotNull() & (F.col("type") == kind))
-    dated = wanted.withColumn("posted", iso_ts("value_date")).filter(F.to_date("posted") >= F.lit(SINCE))
+    dated = wanted.withColumn("posted", iso_ts("value_date")).filter(F.to_date("posted") >= F.lit(since))
     return latest_extract(dated, "id", ties=["posted", "amount"]).select(
         "parent_account_key", "posted", money("amount", 2).alias("amount")
     )
@@ -51,7 +51,7 @@ def _in_currency(ccy: str, value: Column) -> Column:
     return F.when(F.col("ias_account_name").startswith(ccy), value)
 
 
-def savings_accounts(tables: Tables, today: dt.date) -> DataFrame:
+def savings_accounts(tables: Tables, today: dt.date, since: dt.date = SINCE) -> DataFrame:
     """One row per instant-access account with at least one deposit.
 
     Needs ``clients``, ``deposit_accounts``, ``deposit_transactions`` and ``recurring_transfers``.
@@ -62,12 +62,12 @@ def savings_accounts(tables: Tables, today: dt.date) -> DataFrame:
     history = tables["deposit_accounts"].filter(F.col("name").like("%Instant%"))
     moves = tables["deposit_transactions"]
 
-    deposits = postings(moves, "DEPOSIT").groupBy(F.col("parent_account_key").alias("ias_encoded_key")).agg(
+    deposits = postings(moves, "DEPOSIT", since).groupBy(F.col("parent_account_key").alias("ias_encoded_key")).agg(
         F.min(F.to_date("posted")).alias("first_deposit"), F.max(F.to_date("posted")).alias("last_deposit")
     )
     month_end = (today.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
     interest = latest_running_sum(
-        postings(moves, "INTEREST_APPLIED").filter(F.to_date("posted") < F.lit(month_end)),
+        postings(moves, "INTEREST_APPLIED", since).filter(F.to_date("posted") < F.lit(month_end)),
         "parent_account_key",
         ["posted"],
         "amount",
