@@ -33,6 +33,39 @@ DATE_FORMATS = (
     "yyyyMMdd",
 )
 
+# pattern letters -> the texts they can stand for, longest run first
+_SHAPES = (
+    ("yyyy", r"\d{4}"),
+    ("MMMM", "[A-Za-z]+"),
+    ("MMM", "[A-Za-z]{3,4}"),
+    ("MM", r"\d{2}"),
+    ("M", r"\d{1,2}"),
+    ("dd", r"\d{2}"),
+    ("d", r"\d{1,2}"),
+    ("HH", r"\d{2}"),
+    ("hh", r"\d{2}"),
+    ("h", r"\d{1,2}"),
+    ("mm", r"\d{2}"),
+    ("ss", r"\d{2}"),
+    ("a", "[AaPp][Mm]"),
+)
+
+
+def shape_of(pattern: str) -> str:
+    """Regular expression of the texts a date pattern can parse, for the pattern letters used here."""
+    out, rest = "^", pattern
+    while rest:
+        letters, found = next(((p, r) for p, r in _SHAPES if rest.startswith(p)), (rest[0], rest[0]))
+        out += found
+        rest = rest[len(letters) :]
+    return out + "$"
+
+
+def _parse_shaped(text: Column, formats: Sequence[str]) -> list[Column]:
+    # a parser only sees texts of its shape: a failed parse costs far more than the match
+    return [F.when(text.rlike(shape_of(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats]
+
+
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
@@ -49,7 +82,7 @@ def parse_ts_multi(
 ) -> Column:
     """First format that fits, ISO-8601 first. ``on_fail`` is ``error`` or ``null``."""
     text = as_col(col).cast("string")
-    parsed = F.coalesce(iso_ts(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    parsed = F.coalesce(iso_ts(text), *_parse_shaped(text, formats))
     if on_fail == "null":
         return parsed
     message = F.concat(F.lit("no timestamp format fits: "), text)
@@ -63,7 +96,7 @@ def parse_date_guarded(
 ) -> Column:
     """Free-form date text to ``yyyy-MM-dd``; years outside the range and junk give null."""
     text = F.trim(as_col(col))
-    parsed = F.coalesce(iso_ts(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    parsed = F.coalesce(iso_ts(text), *_parse_shaped(text, formats))
     return F.when(F.year(parsed).between(*years), F.date_format(parsed, "yyyy-MM-dd"))
 
 

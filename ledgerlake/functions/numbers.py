@@ -13,6 +13,18 @@ from ledgerlake.operators.ordering import as_col
 GBP_RATES = {"USD": "0.80", "EUR": "0.86", "AED": "0.22", "KWD": "2.65", "SAR": "0.22"}
 
 
+# texts a number can be read from; anything else is not worth a failed cast, which raises inside
+_NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+
+
+def try_number(col: str | Column, kind: str) -> Column:
+    """Number from text, null when the text is no number of that kind."""
+    text = as_col(col)
+    shape = _WHOLE if kind in ("int", "bigint") else _NUMERIC
+    return F.when(text.rlike(shape), text).try_cast(kind)
+
+
 def money(col: str | Column, scale: int = 3) -> Column:
     return as_col(col).cast(f"decimal(18,{scale})")
 
@@ -74,13 +86,12 @@ def lookup(
 def parse_currency(col: str | Column) -> Column:
     """Number left after removing everything but digits and dots; null when that is not a number."""
     digits = F.regexp_replace(as_col(col), r"[^\d.]", "")
-    return F.nullif(digits, F.lit("")).try_cast("double")
+    return try_number(digits, "double")
 
 
 def safe_int(col: str | Column) -> Column:
     """Whole number from text; blank, ``nan`` and junk give null."""
-    text = F.trim(as_col(col))
-    return F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("int")
+    return try_number(col, "int")
 
 
 def parse_bool(col: str | Column) -> Column:

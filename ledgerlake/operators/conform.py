@@ -17,7 +17,7 @@ from ledgerlake.functions.dates import (
     parse_ts_multi,
     with_ymd,
 )
-from ledgerlake.functions.numbers import parse_currency, safe_int
+from ledgerlake.functions.numbers import parse_currency, safe_int, try_number
 from ledgerlake.functions.text import ascii_name, clean_null, snake_case, valid_email_or_blank
 
 # Declared type names and their Spark types; anything else is text.
@@ -44,6 +44,12 @@ def _to_boolean(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("boolean")
 
 
+def _number_or_cast(df: DataFrame, name: str, target: str) -> Column:
+    if target in ("int", "bigint", "double", "float") and isinstance(df.schema[name].dataType, T.StringType):
+        return try_number(name, target)
+    return F.col(name).try_cast(target)
+
+
 def _convert(df: DataFrame, name: str, target: str) -> Column:
     source = df.schema[name].dataType
     if target == "boolean":
@@ -52,7 +58,7 @@ def _convert(df: DataFrame, name: str, target: str) -> Column:
         return parse_ts_multi(name, on_fail="null").cast(target)
     if isinstance(source, T.NullType):
         return F.lit(None).cast(target)
-    return F.col(name).try_cast(target)
+    return _number_or_cast(df, name, target)
 
 
 def select_schema(
@@ -90,7 +96,7 @@ def apply_schema(
                 return parse_ts_multi(name, on_fail=on_bad_ts).cast(target)
             return F.col(name).cast(target)
         if target in ("int", "bigint", "double", "float"):
-            number = F.col(name).try_cast(target)
+            number = _number_or_cast(lowered, name, target)
             return number if numeric_fill is None else F.coalesce(number, F.lit(numeric_fill).cast(target))
         if target == "boolean":
             return _to_boolean(lowered, name)
@@ -112,30 +118,40 @@ def cast_null_columns(df: DataFrame, target: str = "string") -> DataFrame:
 
 
 def infer_schema(df: DataFrame) -> dict[str, str]:
-    """Declared type of each text column from its values, in one aggregate over the whole table."""
-    facts = []
-    for name in df.columns:
-        text = clean_null(F.col(name).cast("string"), markers=("", "None"))
-        number = text.try_cast("bigint")
-        moment = parse_ts_multi(text, on_fail="null")
-        facts.append(
-            F.struct(
-                F.count(text).alias("n"),
-                F.count_if(text.rlike(r"^[+-]?\d+$") & number.isNotNull()).alias("whole"),
-                F.max(number).alias("top"),
-                F.count(text.try_cast("double")).alias("real"),
-                F.count_if(F.lower(text).isin("true", "false")).alias("logical"),
-                F.count(moment).alias("moment"),
-                F.count_if(moment == F.date_trunc("day", moment)).alias("midnight"),
-            ).alias(name)
-        )
-    row = df.agg(*facts).first()
+    """Declared type of each text column from its values, in one aggregate over the whole table.
+
+    The table is turned into (column, value) rows that are counted per column before the shuffle, so the
+    work per row does not grow into one oversized expression.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("text")) for c in df.columns]
+    )
+    tall = df.select(F.explode(pairs).alias("p")).select(
+        F.col("p.name").alias("name"), clean_null("p.text", markers=("", "None")).alias("text")
+    )
+    parsed = tall.filter(F.col("text").isNotNull()).select(
+        "name",
+        try_number("text", "bigint").alias("whole"),
+        try_number("text", "double").alias("real"),
+        F.lower("text").isin("true", "false").alias("logical"),
+        F.when(F.col("text").rlike(r"\d"), parse_ts_multi("text", on_fail="null")).alias("moment"),
+    )
+    rows = parsed.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("whole").alias("whole"),
+        F.max("whole").alias("top"),
+        F.count("real").alias("real"),
+        F.count_if("logical").alias("logical"),
+        F.count("moment").alias("moment"),
+        F.count_if(F.col("moment") == F.date_trunc("day", "moment")).alias("midnight"),
+    )
+    facts = {r["name"]: r for r in rows.collect()}  # one row per column
 
     def decide(name: str) -> str:
-        f = row[name]
-        dated = "date" in name.lower()
-        if f["n"] == 0:
+        f = facts.get(name)
+        if f is None:
             return "string"
+        dated = "date" in name.lower()
         if not dated and f["whole"] == f["n"]:
             return "bigint" if f["top"] > 2**31 - 1 else "int"
         if not dated and f["real"] == f["n"]:
@@ -208,7 +224,7 @@ def cast_by_name(
             return F.col(name)
         if target == "timestamp" and isinstance(df.schema[name].dataType, T.StringType):
             return iso_ts(name).alias(name)
-        return F.col(name).try_cast(target).alias(name)
+        return _number_or_cast(df, name, target).alias(name)
 
     return df.select(*[cast(c) for c in df.columns])
 

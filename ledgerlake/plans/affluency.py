@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.numbers import band, lookup, midpoint, to_gbp
+from ledgerlake.functions.numbers import band, lookup, midpoint, to_gbp, try_number
 from ledgerlake.functions.text import blank_to, clean_null, part_of, replace_blank
 from ledgerlake.operators.latest import latest_per_key
 from ledgerlake.operators.windows import with_group_totals
@@ -143,26 +143,28 @@ ASSETS_CODE = "dynamodb_new_image_individual_m_financial_details_m_estimated_ass
 CARD_ORDERED = "dynamodb_new_image_card_ordered_bool"
 
 
-def _bounds(col: str) -> Column:
-    """Middle of the two numbers in ``CODE_<min>_<max>``; null unless both parse."""
-    low, high = (part_of(col, "_", i).try_cast("decimal(18,3)") for i in (2, 3))
-    return midpoint(low, high)
-
-
 def declared_means(risk: DataFrame) -> DataFrame:
-    """Income, wealth and net worth per customer from the repeated risk-score items."""
+    """Income, wealth and net worth per customer from the repeated risk-score items.
+
+    An item is worth the middle of the two numbers in ``CODE_<min>_<max>``, if both parse.
+    """
     slots = [i for i in range(SLOTS) if f"items_new_{i}_type" in risk.columns]
-    items = F.array(
+    raw = F.array(
         *[
             F.struct(
-                F.when(F.col(f"items_new_{i}_type").isin(*INCOME_TYPES), "income")
-                .when(F.col(f"items_new_{i}_type").isin(*WEALTH_TYPES), "wealth")
-                .alias("kind"),
-                _bounds(f"items_new_{i}_converted_currency").alias("amount"),
+                F.col(f"items_new_{i}_type").alias("type"),
+                F.col(f"items_new_{i}_converted_currency").alias("range"),
             )
             for i in slots
         ]
     )
+
+    def item(x: Column) -> Column:
+        low, high = (try_number(part_of(x["range"], "_", i), "decimal(18,3)") for i in (2, 3))
+        kind = F.when(x["type"].isin(*INCOME_TYPES), "income").when(x["type"].isin(*WEALTH_TYPES), "wealth")
+        return F.struct(kind.alias("kind"), midpoint(low, high).alias("amount"))
+
+    items = F.filter(F.transform(raw, item), lambda x: x["kind"].isNotNull() & x["amount"].isNotNull())
     low, high = (
         to_gbp(f"estimated_net_worth_{side}_local", "estimated_net_worth_currency_code") for side in ("min", "max")
     )
@@ -174,7 +176,7 @@ def declared_means(risk: DataFrame) -> DataFrame:
     )
 
     def total(kind: str) -> Column:
-        known = F.filter("items", lambda x: (x["kind"] == kind) & x["amount"].isNotNull())
+        known = F.filter("items", lambda x: x["kind"] == kind)
         zero = F.lit(0).cast("decimal(28,3)")
         added = F.aggregate(known, zero, lambda acc, x: (acc + x["amount"]).cast("decimal(28,3)"))
         return F.when(F.size(known) > 0, added)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import iso_ts
-from ledgerlake.functions.numbers import money, to_gbp
+from ledgerlake.functions.numbers import money, to_gbp, try_number
 from ledgerlake.functions.text import clean_null
 from ledgerlake.operators.latest import dedupe_events, first_per_key, latest_per_key
 from ledgerlake.operators.predicates import last_n_days
@@ -179,7 +179,7 @@ def wallet_usage(tables: Tables) -> DataFrame:
     A card token belongs to the customer whose latest card it is; older cards count under no customer.
     Needs ``card_messages`` and ``cards``.
     """
-    code = lambda c: F.col(c).try_cast("decimal(18,3)")
+    code = lambda c: try_number(c, "decimal(18,3)")
     approved = tables["card_messages"].filter(
         F.col(WALLET).isin(*MARKETED_WALLETS)
         & ~F.coalesce(f"{MESSAGE}_iso_msg_m_de124_m_1_s", F.lit("XX")).isin(*NOT_PURCHASES)

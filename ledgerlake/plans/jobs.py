@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import epoch_to_ts, fill_millis, with_ymd
-from ledgerlake.functions.numbers import parse_bool
+from ledgerlake.functions.numbers import parse_bool, try_number
 from ledgerlake.operators.conform import (
     add_meta,
     apply_schema,
@@ -46,7 +46,9 @@ def csv_to_parquet(spark: SparkSession, src: str, dst: str, archive: str | None
     plain = data.drop(*dated)
     numbers = {c: k for c, k in infer_schema(plain).items() if k in ("int", "bigint", "double", "boolean")}
     typed = cast_by_name(data, {"date": "timestamp", "timestamp": "timestamp"})
-    typed = typed.withColumns({c: F.col(c).try_cast(k) for c, k in numbers.items()})
+    typed = typed.withColumns(
+        {c: F.col(c).try_cast(k) if k == "boolean" else try_number(c, k) for c, k in numbers.items()}
+    )
     land(typed, dst, "overwrite", partition_by=())
     verdict = validate_copy(data, spark.read.parquet(dst))
     if not verdict["ok"]:
