@@ -171,8 +171,9 @@ def _(t):
     path = fresh_path(t.spark, "batches")
     rows = t.orders.select("o_orderkey", "o_orderstatus")
     sinks.land(rows, path, "overwrite", ["o_orderstatus"])
-    batches = [rows.filter(F.col("o_orderkey") % 2 == i) for i in (0, 1)]
-    sinks.land_batches(batches, path, ["o_orderstatus"], overwrite_first=True)
+    large = t.orders.filter("o_totalprice >= 200000").select(*rows.columns)
+    small = t.orders.filter("o_totalprice < 200000").select(*rows.columns)
+    sinks.land_batches([large, small], path, ["o_orderstatus"], overwrite_first=True)
     return t.spark.read.parquet(path)
 
 
@@ -207,7 +208,7 @@ def _(t):
 @check("s21_skip_empty", "SELECT 0 AS empty_rows, false AS empty_written, count(*) AS rows, true AS written FROM customer")
 def _(t):
     path = fresh_path(t.spark, "empty")
-    none = sinks.land(t.customer.filter("c_custkey < 0"), path, "append", (), skip_empty=True)
+    none = sinks.land(t.customer.filter("c_name IS NULL"), path, "append", (), skip_empty=True)
     some = sinks.land(t.customer, path, "append", (), skip_empty=True)
     return t.spark.createDataFrame(
         [(none["rows"], none["written"], some["rows"], some["written"])],
@@ -243,6 +244,6 @@ def _(t):
 def _(t):
     path = fresh_path(t.spark, "backfill")
     rows = t.events.select("event_id", F.date_format("ts", "yyyyMMdd").alias("date"))
-    incremental.backfill(rows.filter("event_id > 10"), path)
+    incremental.backfill(t.events.filter("event_type <> 'view'").select("event_id", F.date_format("ts", "yyyyMMdd").alias("date")), path)
     incremental.backfill(rows, path)
     return t.spark.read.schema("event_id bigint, date string").parquet(path)

@@ -225,8 +225,9 @@ def _(t):
     """Events arrive in two files; the state after both batches is the latest event per user."""
     src, target, checkpoint = (fresh_path(t.spark, n) for n in ("changes", "state", "progress"))
     rows = t.events.select("user_id", "event_id", "ts")
-    rows.filter("event_id % 2 = 0").coalesce(1).write.mode("append").parquet(src)
-    rows.filter("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(src)
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    rows.filter(early).coalesce(1).write.mode("append").parquet(src)
+    rows.filter(~early).coalesce(1).write.mode("append").parquet(src)
     stream = landing.stream_files(t.spark, src, rows.schema, max_files=1)
     newest = landing.stream_upsert(stream, "user_id", "ts", target, checkpoint, ["event_id"])
     return t.spark.read.parquet(newest)

@@ -88,11 +88,15 @@ def publish(
         if run_date:
             df = df.withColumn("job_run_date", F.date_format(F.lit(today), "yyyyMMdd"))
         partitions = list(dataset.get("partition_cols") or ["date"])
+        checked = partitions
         if "date" not in df.columns:
+            # a constant needs no null check, which would run the query once more
             df = df.withColumn("date", F.date_format(F.lit(today), "yyyy-MM-dd"))
+            checked = [c for c in partitions if c != "date"]
         elif "date" in partitions:
             df = df.withColumn("date", F.date_format(F.col("date").cast("timestamp"), "yyyy-MM-dd"))
-        check_partitions(df, partitions)
+        if checked:
+            check_partitions(df, checked)
         catalog = dataset["catalog"]
         types = {c: v["type"] for c, v in catalog.items()}
         extra = [c for c in df.columns if c not in types]
