@@ -164,7 +164,7 @@ def _(t):
 )
 def _(t):
     codes = {"1-URGENT": 2600, "2-HIGH": 42000, "3-MEDIUM": 15900}
-    return numbers.lookup(t.orders, "o_orderpriority", codes, "income").select("o_orderkey", "income")
+    return t.orders.select("o_orderkey", numbers.lookup("o_orderpriority", codes).alias("income"))
 
 
 @check(

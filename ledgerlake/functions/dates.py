@@ -66,15 +66,13 @@ def _parse_shaped(text: Column, formats: Sequence[str]) -> list[Column]:
     return [F.when(text.rlike(shape_of(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats]
 
 
-_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+_ISO = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?\s*$"
 
 
 def iso_ts(col: str | Column) -> Column:
-    """ISO-8601 text to timestamp; ``+0000`` offsets are accepted, other shapes give null."""
-    text = F.trim(as_col(col))
-    colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    offset = F.when(text.rlike(r"T.*[+-]\d{4}$"), colon).otherwise(text)
-    return F.when(text.rlike(_ISO), offset).try_cast("timestamp")
+    """ISO-8601 text to timestamp, with or without offset; other shapes give null."""
+    text = as_col(col)
+    return F.when(text.rlike(_ISO), text).try_cast("timestamp")
 
 
 def parse_ts_multi(

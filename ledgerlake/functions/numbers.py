@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.ordering import as_col
@@ -72,15 +72,10 @@ def band(col: str | Column, upper_bounds: Sequence[tuple[float, str]], above: st
     return case.otherwise(F.lit(above))
 
 
-def lookup(
-    df: DataFrame, col: str, table: Mapping[str, object], out: str, kind: str = "int"
-) -> DataFrame:
-    """Code to value through a literal table, joined by broadcast; the table is fixed in the code."""
-    spark: SparkSession = df.sparkSession
-    codes = spark.createDataFrame(
-        [(k, v) for k, v in table.items()], f"_code string, {out} {kind}"
-    )
-    return df.join(F.broadcast(codes), df[col] == codes["_code"], "left").drop("_code")
+def lookup(col: str | Column, table: Mapping[str, int]) -> Column:
+    """Value of a code in a small literal table, null when the code is not listed."""
+    entries = ", ".join(f"'{code}', {value}" for code, value in table.items())
+    return F.try_element_at(F.expr(f"map({entries})"), as_col(col))
 
 
 def parse_currency(col: str | Column) -> Column:

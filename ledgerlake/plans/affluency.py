@@ -200,23 +200,30 @@ def means_per_customer(tables: Tables, history_fallback: bool) -> DataFrame:
     With ``history_fallback`` a value missing from the latest row is taken from the customer's history.
     """
     history = tables["customers"]
+    order = change_order(history)
+    facts = {
+        "country_code": F.col(COUNTRY),
+        "current_status": F.col(STATUS),
+        "card_ordered": F.col(CARD_ORDERED),
+        "income_coded": lookup(INCOME_CODE, INCOME_GBP),
+        "assets_coded": lookup(ASSETS_CODE, ASSETS_GBP),
+    }
     coded = history.select(
-        customer_id(history).alias("user_id"),
-        *change_order(history),
-        F.col(COUNTRY).alias("country_code"),
-        F.col(STATUS).alias("current_status"),
-        F.col(CARD_ORDERED).alias("card_ordered"),
-        F.col(INCOME_CODE).alias("income_code"),
-        F.col(ASSETS_CODE).alias("assets_code"),
+        customer_id(history).alias("user_id"), *order, *[c.alias(n) for n, c in facts.items()]
     )
-    order = change_order(history)
-    coded = lookup(lookup(coded, "income_code", INCOME_GBP, "income_coded"), "assets_code", ASSETS_GBP, "assets_coded")
-    current = latest_per_key(coded, "user_id", order)
     if history_fallback:
-        best = coded.groupBy("user_id").agg(
-            F.max("income_coded").alias("income_best"), F.max("assets_coded").alias("assets_best")
+        # the latest row and the best values of the history in one pass
+        current = (
+            coded.groupBy("user_id")
+            .agg(
+                F.max_by(F.struct(*facts), F.struct(*order)).alias("_now"),
+                F.max("income_coded").alias("income_best"),
+                F.max("assets_coded").alias("assets_best"),
+            )
+            .select("user_id", "_now.*", "income_best", "assets_best")
         )
-        current = current.join(best, "user_id", "left")
+    else:
+        current = latest_per_key(coded, "user_id", order)
     joined = current.join(declared_means(tables["riskscore"]), "user_id", "left")
 
     uae = F.col("country_code") == "ARE"

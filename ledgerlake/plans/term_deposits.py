@@ -195,22 +195,20 @@ def deposit_terms(accounts: DataFrame) -> DataFrame:
     )
 
 
-def matured_amounts(transactions: DataFrame, deposits: DataFrame) -> DataFrame:
-    """Interest applied and amount paid out per deposit; the latest posting when there are several."""
-    keys = deposits.select(F.col("encoded_key").alias("parent_account_key"), "account_id").distinct()
-    moves = transactions.filter(F.col("type").isin("INTEREST_APPLIED", "WITHDRAWAL")).join(
-        keys.select("parent_account_key").distinct(), "parent_account_key", "left_semi"
+def matured_amounts(transactions: DataFrame) -> DataFrame:
+    """Interest applied and amount paid out per account; the latest posting when there are several."""
+    moves = transactions.filter(F.col("type").isin("INTEREST_APPLIED", "WITHDRAWAL")).select(
+        "parent_account_key", "id", "type", "currency_code", "amount", "value_date", "timestamp_extracted"
     )
     latest = latest_extract(moves, "id", ties=["value_date", "amount"])
     # value_date is ISO text of one shape, so text order is time order; the id settles ties
     order = F.struct("value_date", "id")
     interest, payout = F.col("type") == "INTEREST_APPLIED", F.col("type") == "WITHDRAWAL"
-    sums = latest.groupBy("parent_account_key").agg(
+    return latest.groupBy(F.col("parent_account_key").alias("encoded_key")).agg(
         F.max_by(money("amount"), F.when(interest, order)).alias("matured_interest"),
         F.max_by(F.abs(money("amount")), F.when(payout, order)).alias("balance_at_maturity"),
         F.max_by(F.abs(to_gbp("amount", "currency_code")), F.when(payout, order)).alias("balance_at_maturity_gbp"),
     )
-    return keys.join(sums, "parent_account_key").drop("parent_account_key")
 
 
 def customer_totals(per_account: DataFrame) -> DataFrame:
@@ -251,15 +249,20 @@ def term_deposits(
         deposits.join(states, ["account_holder_key", "account_id"], "left")
         .withColumn("active_flag", F.coalesce((F.col("ftd_account_state") == "ACTIVE").cast("int"), F.lit(0)))
     )
-    known = deposits.join(customers.select("user_id"), "user_id", "left_semi")
-    matured = matured_amounts(tables["deposit_transactions"], known)
-    detail = per_account.join(matured, "account_id", "left")
+    per_customer = customer_totals(per_account)
+    totals = [c for c in per_customer.columns if c != "user_id"]
     report = (
-        detail.join(customers, "user_id", "left")
+        per_account.join(matured_amounts(tables["deposit_transactions"]), "encoded_key", "left")
+        .join(customers.withColumn("known", F.lit(True)), "user_id", "left")
         .join(customer_affluency(tables), "user_id", "left")
-        .join(customer_totals(per_account), "user_id", "left")
+        .join(per_customer, "user_id", "left")
     )
-    totals = [c for c in customer_totals(per_account).columns if c != "user_id"]
+    # postings count only for owners the customer history knows
+    matured = {
+        c: F.when(F.col("known"), F.col(c))
+        for c in ("matured_interest", "balance_at_maturity", "balance_at_maturity_gbp")
+    }
+    report = report.withColumns(matured)
     named = report.select(
         F.col("user_id").alias("ftd_customer_id"),
         F.col("account_holder_key").alias("ftd_account_holder_key"),
