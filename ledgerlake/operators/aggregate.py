@@ -24,11 +24,12 @@ def pivot_fixed(
     values: Mapping[str, str],
     measures: Mapping[str, Column],
     other: str | None = None,
+    more: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Columns ``<label>_<measure>`` holding the maximum per listed value.
 
     ``values`` maps the value of ``col`` to its label; rows with any other non-null value go to the
-    ``other`` label. One grouped aggregate, no dynamic pivot pass.
+    ``other`` label; ``more`` adds plain aggregates. One grouped aggregate, no dynamic pivot pass.
     """
     listed = F.col(col).isin(list(values))
     buckets = [(label, F.col(col) == value) for value, label in values.items()]
@@ -39,7 +40,8 @@ def pivot_fixed(
         for label, cond in buckets
         for measure, expr in measures.items()
     ]
-    return df.groupBy(*names(keys)).agg(*exprs)
+    extra = [expr.alias(name) for name, expr in (more or {}).items()]
+    return df.groupBy(*names(keys)).agg(*exprs, *extra)
 
 
 def pivot_to_row(df: DataFrame, spec: Mapping[str, tuple[Column, Column]]) -> DataFrame:

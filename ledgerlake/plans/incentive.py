@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import iso_ts
@@ -18,6 +19,7 @@ from ledgerlake.operators.latest import latest_per_key
 from ledgerlake.operators.predicates import matches_any, not_blank, select_existing
 from ledgerlake.plans.customers import STATUS, UPDATED, Tables, change_order, customer_id
 from ledgerlake.plans.names import CURRENCIES, INBOUND_CHANNELS, TERM_ACCOUNTS
+from ledgerlake.session import materialize
 
 CHANNEL = "transaction_details_transaction_channel_id"
 
@@ -95,13 +97,32 @@ def account_activity(transactions: DataFrame, channels: Sequence[str], deposits_
     )
 
 
-def last_balances(accounts: DataFrame, per_name_only: bool) -> DataFrame:
+def current_accounts(accounts: DataFrame) -> DataFrame:
+    """One row per account, holder and name: the newest values and the last maturity date of the history."""
+    rows = accounts.select(
+        "encoded_key",
+        "account_holder_key",
+        "name",
+        money("balances_total_balance").alias("balance"),
+        iso_ts("maturity_date").cast("date").alias("matures"),
+        iso_ts("approved_date").alias("approved"),
+        iso_ts("last_modified_date").alias("modified"),
+    )
+    newest = F.max_by(F.struct("modified", "approved", "balance"), F.struct("modified", "approved", "balance"))
+    return (
+        rows.groupBy("encoded_key", "account_holder_key", "name")
+        .agg(newest.alias("_now"), F.max("matures").alias("last_maturity"))
+        .select("encoded_key", "account_holder_key", "name", "last_maturity", "_now.*")
+    )
+
+
+def last_balances(current: DataFrame, per_name_only: bool) -> DataFrame:
     """Balances per holder from the last row of each account name.
 
     ``per_name_only`` keeps one row per name for the whole bank instead of one per holder and name.
     """
     keys = ["name"] if per_name_only else ["account_holder_key", "name"]
-    last = latest_per_key(accounts, keys, ["modified", "balance", "account_holder_key"])
+    last = latest_per_key(current, keys, ["modified", "balance", "account_holder_key"])
     exact = {f"{label}_balance": F.col("name") == name for name, label in TERM_ACCOUNTS.items()}
     by_currency = {f"last_balance_{c.lower()}": _holds("name", c) for c in CURRENCIES}
     return last.groupBy("account_holder_key").agg(
@@ -131,30 +152,15 @@ def partner_incentives(
     everyone = customers.select("customer_id").distinct()
 
     clients = tables["clients"].select("id", F.col("encoded_key").alias("client_key")).distinct()
-    accounts = tables["deposit_accounts"].select(
-        "encoded_key",
-        "account_holder_key",
-        "name",
-        money("balances_total_balance").alias("balance"),
-        iso_ts("maturity_date").cast("date").alias("matures"),
-        iso_ts("approved_date").alias("approved"),
-        iso_ts("last_modified_date").alias("modified"),
-    )
-    current = latest_per_key(
-        accounts, ["encoded_key", "account_holder_key", "name"], ["modified", "approved", "balance"]
-    )
+    current = materialize(current_accounts(tables["deposit_accounts"]), "accounts")
     activity = account_activity(tables["deposit_transactions"], channels, deposits_only_first)
     active = current.join(activity, F.col("encoded_key") == F.col("parent_account_key"))
     owned = (
         everyone.join(clients, F.col("customer_id") == F.col("id"))
         .join(active, F.col("client_key") == F.col("account_holder_key"))
     )
-    maturities = (
-        accounts.select("account_holder_key", "name", "matures")
-        .dropna()
-        .groupBy("account_holder_key", "name")
-        .agg(F.max("matures").alias("last_maturity"))
-    )
+    # opening and maturity dates are taken per account name, over all accounts of that name
+    maturities = current.groupBy("account_holder_key", "name").agg(F.max("last_maturity").alias("last_maturity"))
     inbound = [f"total_inbound_payment_{c.lower()}" for c in CURRENCIES]
     per_name = (
         owned.groupBy("customer_id", "account_holder_key", "name")
@@ -167,23 +173,36 @@ def partner_incentives(
         )
         .join(maturities, ["account_holder_key", "name"], "left")
     )
-    # a holder without any inbound deposit has no row in the totals
-    totals = (
-        per_name.filter("n_inbound > 0")
-        .groupBy("customer_id", "account_holder_key")
-        .agg(*[F.sum(c).alias(c) for c in inbound])
-    )
     named = {label: F.col("name") == name for name, label in TERM_ACCOUNTS.items()}
-    per_customer = per_name.groupBy("customer_id").agg(
-        F.min("first_deposit").alias("first_deposit_transaction_date"),
-        F.max("last_debit").alias("last_transaction_date"),
-        F.min("approved").alias("approved_date"),
-        *[F.max(F.when(c, F.col("last_maturity"))).alias(f"{n}_maturity_date") for n, c in named.items()],
-        *[F.max(F.when(c, F.to_date("approved"))).alias(f"{n}_last_in_date") for n, c in named.items()],
+    highest = {
+        "last_transaction_date": F.col("last_debit"),
+        **{f"{n}_maturity_date": F.when(c, F.col("last_maturity")) for n, c in named.items()},
+        **{f"{n}_last_in_date": F.when(c, F.to_date("approved")) for n, c in named.items()},
+    }
+    lowest = {"first_deposit_transaction_date": F.col("first_deposit"), "approved_date": F.col("approved")}
+    per_holder = per_name.groupBy("customer_id", "account_holder_key").agg(
+        F.sum("n_inbound").alias("n_inbound"),
+        *[F.sum(c).alias(c) for c in inbound],
+        *[F.max(c).alias(n) for n, c in highest.items()],
+        *[F.min(c).alias(n) for n, c in lowest.items()],
+    )
+    # one row per holder key is left here, so the customer-wide values can come from a window
+    customer = W.partitionBy("customer_id")
+    wide = per_holder.withColumns(
+        {
+            **{n: F.max(n).over(customer) for n in highest},
+            **{n: F.min(n).over(customer) for n in lowest},
+            "_inbound": F.sum("n_inbound").over(customer),
+            "_rn": F.row_number().over(customer.orderBy("account_holder_key")),
+        }
+    )
+    # holders with inbound payments; a customer without any keeps one row and no holder
+    paid = F.col("n_inbound") > 0
+    holders = wide.filter(paid | ((F.col("_inbound") == 0) & (F.col("_rn") == 1))).withColumn(
+        "account_holder_key", F.when(paid, F.col("account_holder_key"))
     )
-    balances = last_balances(accounts, legacy_balances)
-    report = left_join_all(everyone, [totals, submitted, per_customer], "customer_id")
-    report = report.join(balances, "account_holder_key", "left")
+    report = left_join_all(everyone, [holders, submitted], "customer_id")
+    report = report.join(last_balances(current, legacy_balances), "account_holder_key", "left")
     report = select_existing(report, REPORT_COLUMNS)
     amounts = [c for c in report.columns if "balance" in c or "payment" in c]
     report = report.withColumns({c: F.round(c, 2) for c in amounts})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import iso_ts, report_date
 from ledgerlake.functions.numbers import money
-from ledgerlake.operators.aggregate import pivot_fixed, string_agg_ordered
+from ledgerlake.operators.aggregate import pivot_fixed
 from ledgerlake.operators.joins import left_join_all
 from ledgerlake.operators.latest import first_per_key, latest_per_key
 from ledgerlake.plans.customers import STATUS, UPDATED, Tables, change_order
@@ -106,9 +106,16 @@ def inbound_per_account(transactions: DataFrame) -> DataFrame:
             F.min_by(F.struct("parent_account_key", booked.alias("booked")), seen).alias("oldest"),
         )
     )
-    last = per_id.groupBy(F.col("newest.parent_account_key").alias("account_key")).agg(F.max("newest.booked").alias("last_in"))
-    first = per_id.groupBy(F.col("oldest.parent_account_key").alias("account_key")).agg(F.min("oldest.booked").alias("first_in"))
-    return last.join(first, "account_key", "full_outer")
+    nothing = F.lit(None).cast("timestamp")
+    moves = F.array(
+        F.struct(F.col("newest.parent_account_key").alias("account_key"), F.col("newest.booked").alias("l"), nothing.alias("f")),
+        F.struct(F.col("oldest.parent_account_key").alias("account_key"), nothing.alias("l"), F.col("oldest.booked").alias("f")),
+    )
+    return (
+        per_id.select(F.inline(moves))
+        .groupBy("account_key")
+        .agg(F.max("l").alias("last_in"), F.min("f").alias("first_in"))
+    )
 
 
 def lifecycle_extract(tables: Tables, names: Sequence[str] = ACCOUNT_NAMES) -> DataFrame:
@@ -142,25 +149,28 @@ def lifecycle_extract(tables: Tables, names: Sequence[str] = ACCOUNT_NAMES) -> D
         .join(accounts, "account_holder_key")
         .join(inbound_per_account(tables["deposit_transactions"]), "account_key", "left")
     )
-    last = latest_per_key(held, ["customer_id", "name"], ["last_in", "balance"])
-    first = held.groupBy("customer_id", "name").agg(F.min("first_in").alias("first_in"))
+    newest = F.struct("last_in", "balance")
+    per_name = held.groupBy("customer_id", "name").agg(
+        F.max_by(newest, newest).alias("_now"), F.min("first_in").alias("first_in")
+    )
     listed = {n: label_of(n) for n in names}
-    last_wide = pivot_fixed(
-        last,
+    wide = pivot_fixed(
+        per_name,
         "customer_id",
         "name",
         listed,
-        {"Last_Inbound_Payment_Date": F.col("last_in"), "Total_Balance": F.col("balance")},
+        {
+            "Last_Inbound_Payment_Date": F.col("_now.last_in"),
+            "Total_Balance": F.col("_now.balance"),
+            "First_Inbound_Payment_Date": F.col("first_in"),
+        },
         other="Other",
-    )
-    first_wide = pivot_fixed(
-        first, "customer_id", "name", listed, {"First_Inbound_Payment_Date": F.col("first_in")}, other="Other"
+        more={"Account_Types": F.array_join(F.sort_array(F.collect_set("name"), asc=False), ", ")},
     )
     languages = clients.groupBy("customer_id").agg(F.max("preferred_language").alias("preferred_language"))
-    kinds = string_agg_ordered(last, "customer_id", "name", "Account_Types")
     cards = card_facts(tables["cards"], tables["card_messages"])
     report = left_join_all(
-        customers, [languages, cards, card_orders(tables["card_orders"]), kinds, last_wide, first_wide], "customer_id"
+        customers, [languages, cards, card_orders(tables["card_orders"]), wide], "customer_id"
     )
 
     def shown(column: str) -> Column:

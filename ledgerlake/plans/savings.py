@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.dates import epoch_to_ts, iso_ts
 from ledgerlake.functions.numbers import greatest_case, money
 from ledgerlake.operators.latest import latest_extract, latest_per_key
-from ledgerlake.operators.windows import latest_running_sum, with_group_totals
+from ledgerlake.operators.windows import with_group_totals
 from ledgerlake.plans.customers import Tables
+from ledgerlake.session import materialize
 
 # Lower balance bounds of tiers 1 to 3 per currency.
 TIER_BOUNDS = {"GBP": (3000, 10000, 25000), "USD": (3000, 10000, 30000), "EUR": (3000, 10000, 30000)}
@@ -19,12 +20,24 @@ SINCE = dt.date(2021, 7, 1)
 RATE = "interest_settings_interest_rate_settings_interest_rate_tiers_{}_interest_rate"
 
 
-def postings(transactions: DataFrame, kind: str, since: dt.date = SINCE) -> DataFrame:
-    """Latest extract of each posting of one type since the start date."""
-    wanted = transactions.filter(F.col("creation_date").isNotNull() & (F.col("type") == kind))
-    dated = wanted.withColumn("posted", iso_ts("value_date")).filter(F.to_date("posted") >= F.lit(since))
-    return latest_extract(dated, "id", ties=["posted", "amount"]).select(
-        "parent_account_key", "posted", money("amount", 2).alias("amount")
+def account_postings(transactions: DataFrame, before: dt.date, since: dt.date = SINCE) -> DataFrame:
+    """First and last deposit day and interest paid per account, from the latest extract of each posting."""
+    wanted = transactions.filter(
+        F.col("creation_date").isNotNull() & F.col("type").isin("DEPOSIT", "INTEREST_APPLIED")
+    ).select(
+        "id",
+        "type",
+        "parent_account_key",
+        F.to_date(iso_ts("value_date")).alias("posted"),
+        money("amount", 2).alias("amount"),
+        "timestamp_extracted",
+    )
+    latest = latest_extract(wanted.filter(F.col("posted") >= F.lit(since)), ["id", "type"], ties=["posted", "amount"])
+    deposit, interest = F.col("type") == "DEPOSIT", F.col("type") == "INTEREST_APPLIED"
+    return latest.groupBy(F.col("parent_account_key").alias("ias_encoded_key")).agg(
+        F.min(F.when(deposit, F.col("posted"))).alias("first_deposit"),
+        F.max(F.when(deposit, F.col("posted"))).alias("last_deposit"),
+        F.sum(F.when(interest & (F.col("posted") < F.lit(before)), F.col("amount"))).alias("ias_interest_accrued_amount"),
     )
 
 
@@ -60,19 +73,8 @@ def savings_accounts(tables: Tables, today: dt.date, since: dt.date = SINCE) ->
         F.col("id").alias("ias_customer_id"), F.col("encoded_key").alias("account_holder_key")
     ).distinct()
     history = tables["deposit_accounts"].filter(F.col("name").like("%Instant%"))
-    moves = tables["deposit_transactions"]
-
-    deposits = postings(moves, "DEPOSIT", since).groupBy(F.col("parent_account_key").alias("ias_encoded_key")).agg(
-        F.min(F.to_date("posted")).alias("first_deposit"), F.max(F.to_date("posted")).alias("last_deposit")
-    )
     month_end = (today.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
-    interest = latest_running_sum(
-        postings(moves, "INTEREST_APPLIED", since).filter(F.to_date("posted") < F.lit(month_end)),
-        "parent_account_key",
-        ["posted"],
-        "amount",
-        "ias_interest_accrued_amount",
-    ).select(F.col("parent_account_key").alias("ias_encoded_key"), "ias_interest_accrued_amount")
+    postings = account_postings(tables["deposit_transactions"], month_end, since)
 
     modified = iso_ts("last_modified_date")
     accounts = history.groupBy(
@@ -86,7 +88,12 @@ def savings_accounts(tables: Tables, today: dt.date, since: dt.date = SINCE) ->
         F.max_by("account_state", modified).alias("ias_account_state"),
         F.max_by("balances_total_balance", modified).alias("balance"),
     )
-    owned = accounts.join(clients, "account_holder_key").drop("account_holder_key").join(deposits, "ias_encoded_key")
+    owned = materialize(
+        accounts.join(clients, "account_holder_key")
+        .drop("account_holder_key")
+        .join(postings.filter(F.col("first_deposit").isNotNull()), "ias_encoded_key"),
+        "savings",
+    )
     active = F.col("ias_account_state") == "ACTIVE"
     counted = with_group_totals(
         owned, "ias_customer_id", {"ias_no_active_accounts": F.count_if(active), "_all": F.count("ias_encoded_key")}
@@ -105,7 +112,6 @@ def savings_accounts(tables: Tables, today: dt.date, since: dt.date = SINCE) ->
     joined = (
         counted.join(rates, "ias_account_name", "left")
         .join(recurring, "ias_account_id", "left")
-        .join(interest, "ias_encoded_key", "left")
     )
 
     amount = F.col("balance").cast("double")

@@ -17,6 +17,7 @@ from ledgerlake.operators.setops import stack_rows, union_all
 from ledgerlake.operators.windows import with_global, with_next
 from ledgerlake.plans.affluency import customer_affluency
 from ledgerlake.plans.customers import BRAND, COUNTRY, STATUS, Tables, change_order, customer_id
+from ledgerlake.session import materialize
 
 SK = "dynamodb_new_image_sk_s"
 PRODUCT = "dynamodb_new_image_product_encoded_key_s"
@@ -166,14 +167,28 @@ def deposit_accounts(tables: Tables) -> DataFrame:
     return rows.join(owners, "account_holder_key", "left")
 
 
+def fixed_deposits(accounts: DataFrame) -> DataFrame:
+    """One row per holder and fixed deposit: its latest active row, its latest state, and whether any row of
+    the account was closed before maturity. One pass over the account history.
+    """
+    fixed = F.col("name").like("%Fixed%")
+    order = F.struct("last_modified_date", "balance")
+    kept = [c for c in accounts.columns if c not in ("account_holder_key", "account_id")]
+    active = fixed & (F.col("account_state") == "ACTIVE")
+    reduced = accounts.groupBy("account_holder_key", "account_id").agg(
+        F.max_by(F.struct(*kept), F.when(active, order)).alias("_now"),
+        F.max_by("account_state", F.when(fixed, order)).alias("ftd_account_state"),
+        F.max(F.coalesce(F.col("closed_date") < F.col("maturity_date"), F.lit(False))).alias("closed_early"),
+    )
+    return reduced.select("account_holder_key", "account_id", "_now.*", "ftd_account_state", "closed_early")
+
+
 def deposit_terms(accounts: DataFrame) -> DataFrame:
-    """Latest active row of every fixed deposit that was not closed early, with the customer's next one."""
-    fixed = accounts.filter(F.col("name").like("%Fixed%") & (F.col("account_state") == "ACTIVE"))
-    early = accounts.filter(F.col("closed_date") < F.col("maturity_date")).select("account_id").distinct()
-    open_ones = exclude_keys(fixed, early, "account_id")
-    latest = latest_per_key(
-        open_ones, ["account_holder_key", "account_id"], ["last_modified_date", "balance"]
-    ).filter(F.col("maturity_date").isNotNull())
+    """Fixed deposits that were not closed early, with their term and the holder's next deposit."""
+    deposits = materialize(fixed_deposits(accounts), "deposits")
+    early = deposits.filter("closed_early").select("account_id")
+    wanted = deposits.filter(F.col("maturity_date").isNotNull()).drop("closed_early")
+    latest = exclude_keys(wanted, early, "account_id")
     months = months_between("activation_date", "maturity_date") + 1
     term = F.when(months == 4, F.lit("3-months")).otherwise(F.concat(months.cast("string"), F.lit("-months")))
     following = with_next(
@@ -190,8 +205,9 @@ def deposit_terms(accounts: DataFrame) -> DataFrame:
         )
         for n in WINDOWS
     }
+    state = F.coalesce((F.col("ftd_account_state") == "ACTIVE").cast("int"), F.lit(0))
     return following.withColumns(
-        {"term": term, "maturity_plus_1hr": F.col("maturity_date") + F.expr("INTERVAL 1 HOUR"), **flags}
+        {"term": term, "maturity_plus_1hr": F.col("maturity_date") + F.expr("INTERVAL 1 HOUR"), "active_flag": state, **flags}
     )
 
 
@@ -240,15 +256,8 @@ def term_deposits(
     that many days of ``today``.
     """
     accounts = deposit_accounts(tables)
-    deposits = deposit_terms(accounts)
-    states = latest_per_key(
-        accounts.filter(F.col("name").like("%Fixed%")), ["account_holder_key", "account_id"], ["last_modified_date", "balance"]
-    ).select("account_holder_key", "account_id", F.col("account_state").alias("ftd_account_state"))
+    per_account = deposit_terms(accounts)
     customers = current_customers(tables["customers"], default_brand)
-    per_account = (
-        deposits.join(states, ["account_holder_key", "account_id"], "left")
-        .withColumn("active_flag", F.coalesce((F.col("ftd_account_state") == "ACTIVE").cast("int"), F.lit(0)))
-    )
     per_customer = customer_totals(per_account)
     totals = [c for c in per_customer.columns if c != "user_id"]
     report = (
