@@ -59,12 +59,12 @@ REPORT_COLUMNS = (
 )
 
 
-def _holds(column: str, ccy: str) -> Column:
-    """The first listed currency found in the text decides."""
-    found = F.col(column).contains(ccy)
-    for earlier in CURRENCIES[: CURRENCIES.index(ccy)]:
-        found = found & ~F.col(column).contains(earlier)
-    return found
+def _currency_in(column: str) -> Column:
+    """The first listed currency found in the text."""
+    case = F.lit(None).cast("string")
+    for ccy in reversed(CURRENCIES):
+        case = F.when(F.col(column).contains(ccy), F.lit(ccy)).otherwise(case)
+    return case
 
 
 def account_activity(transactions: DataFrame, channels: Sequence[str], deposits_only_first: bool) -> DataFrame:
@@ -74,14 +74,13 @@ def account_activity(transactions: DataFrame, channels: Sequence[str], deposits_
         "id",
         "type",
         CHANNEL,
-        "currency_code",
+        _currency_in("currency_code").alias("ccy"),
+        matches_any(CHANNEL, channels).alias("inbound"),
         money("amount").alias("amount"),
         iso_ts("booking_date").alias("booked"),
     )
-    latest = latest_per_key(
-        named, ["parent_account_key", "id", "type", CHANNEL], ["booked", "amount", "currency_code"]
-    )
-    inbound = matches_any(CHANNEL, channels)
+    latest = latest_per_key(named, ["parent_account_key", "id", "type", CHANNEL], ["booked", "amount", "ccy"])
+    inbound = F.col("inbound")
     deposit = F.col("type") == "DEPOSIT"
     first = inbound & deposit if deposits_only_first else inbound
     return latest.groupBy("parent_account_key").agg(
@@ -89,7 +88,7 @@ def account_activity(transactions: DataFrame, channels: Sequence[str], deposits_
         F.max(F.when(F.col("type").isin("WITHDRAWAL", "WITHDRAWAL_ADJUSTMENT"), F.col("booked"))).alias("last_debit"),
         F.count_if(deposit & inbound).alias("n_inbound"),
         *[
-            F.sum(F.when(deposit & inbound & _holds("currency_code", c), F.col("amount"))).alias(
+            F.sum(F.when(deposit & inbound & (F.col("ccy") == c), F.col("amount"))).alias(
                 f"total_inbound_payment_{c.lower()}"
             )
             for c in CURRENCIES
@@ -122,9 +121,11 @@ def last_balances(current: DataFrame, per_name_only: bool) -> DataFrame:
     ``per_name_only`` keeps one row per name for the whole bank instead of one per holder and name.
     """
     keys = ["name"] if per_name_only else ["account_holder_key", "name"]
-    last = latest_per_key(current, keys, ["modified", "balance", "account_holder_key"])
+    last = latest_per_key(current, keys, ["modified", "balance", "account_holder_key"]).withColumn(
+        "ccy", _currency_in("name")
+    )
     exact = {f"{label}_balance": F.col("name") == name for name, label in TERM_ACCOUNTS.items()}
-    by_currency = {f"last_balance_{c.lower()}": _holds("name", c) for c in CURRENCIES}
+    by_currency = {f"last_balance_{c.lower()}": F.col("ccy") == c for c in CURRENCIES}
     return last.groupBy("account_holder_key").agg(
         *[F.sum(F.when(cond, F.col("balance"))).alias(out) for out, cond in {**by_currency, **exact}.items()]
     )
