@@ -122,12 +122,12 @@ def _(t):
     return conform.normalize_columns(odd)
 
 
-@check("c9_drop_all_null", "SELECT s_suppkey, s_name, CASE WHEN s_acctbal > 9000 THEN s_acctbal END AS large FROM supplier")
+@check("c9_drop_all_null", "SELECT s_suppkey, s_name, CASE WHEN s_acctbal > 500 THEN s_acctbal END AS large FROM supplier")
 def _(t):
     wide = t.supplier.select(
         "s_suppkey",
         "s_name",
-        F.when(F.col("s_acctbal") > 9000, F.col("s_acctbal")).alias("large"),
+        F.when(F.col("s_acctbal") > 500, F.col("s_acctbal")).alias("large"),
         F.lit(None).cast("string").alias("nothing"),
     )
     return conform.drop_all_null(wide)
@@ -140,14 +140,21 @@ def _(t):
 
 @check(
     "c12_generate_catalog",
-    """SELECT 'c_custkey' AS name, 'float' AS kind, 'Customer number' AS comment UNION ALL
+    """WITH c AS (SELECT 'c_custkey' AS name, 'float' AS kind, 'Customer number' AS comment UNION ALL
        SELECT 'c_name', 'string', 'This is the c name column.' UNION ALL SELECT 'c_nationkey', 'int', 'This is the c nationkey column.' UNION ALL
-       SELECT 'c_acctbal', 'float', 'This is the c acctbal column.' UNION ALL SELECT 'c_mktsegment', 'string', 'This is the c mktsegment column.'""",
+       SELECT 'c_acctbal', 'float', 'This is the c acctbal column.' UNION ALL SELECT 'c_mktsegment', 'string', 'This is the c mktsegment column.'),
+       v AS (SELECT 'c_custkey' AS name, count(c_custkey) AS filled FROM customer UNION ALL SELECT 'c_name', count(c_name) FROM customer
+             UNION ALL SELECT 'c_nationkey', count(c_nationkey) FROM customer UNION ALL SELECT 'c_acctbal', count(c_acctbal) FROM customer
+             UNION ALL SELECT 'c_mktsegment', count(c_mktsegment) FROM customer)
+       SELECT c.*, v.filled FROM c JOIN v ON v.name = c.name""",
 )
 def _(t):
+    """The catalog of the customer table with the number of values each column holds."""
     comments, schemas = conform.generate_catalog(t.customer, "customer", {"c_custkey": "Customer number"})
-    rows = [(n, k, comments["customer"][n]) for n, k in schemas["customer"].items()]
-    return t.spark.createDataFrame(rows, "name string, kind string, comment string")
+    entries = [(n, k, comments["customer"][n]) for n, k in schemas["customer"].items()]
+    catalog = t.spark.createDataFrame(entries, "name string, kind string, comment string")
+    counts = t.customer.agg(*[F.count(c).alias(c) for c in t.customer.columns])
+    return catalog.join(counts.unpivot([], list(t.customer.columns), "name", "filled"), "name")
 
 
 @check(

@@ -378,6 +378,23 @@ def _(t):
     return t.spark.read.schema("event_id string, screen_name string, date string, year int, month int, day int").parquet(path)
 
 
+@check(
+    "r30_csv_table_conversion",
+    """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_mktsegment, CAST(CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS DOUBLE) AS c_acctbal,
+          0 AS left_behind FROM customer""",
+)
+def _(t):
+    """A CSV table of two differing files becomes Parquet; the sources move to the archive."""
+    src, dst = fresh_path(t.spark, "csvtable"), fresh_path(t.spark, "parquettable")
+    money = F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal")
+    parts = {"1": t.customer.filter("c_acctbal >= 0").select("c_custkey", "c_mktsegment", money), "2": t.customer.filter("c_acctbal < 0").select("c_custkey", "c_mktsegment")}
+    for name, part in parts.items():
+        part.coalesce(1).write.option("header", True).csv(f"{src}/date=2024010{name}")
+    jobs.csv_to_parquet(t.spark, src, dst, f"{src}_archive")
+    left = readers.list_files(t.spark, src, "*.csv").agg(F.count(F.lit(1)).cast("int")).scalar()
+    return t.spark.read.parquet(dst).withColumn("left_behind", left)
+
+
 @check(
     "r31_consumer_duty_publishing",
     """SELECT 'complaints_cases' AS dataset, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' UNION ALL
