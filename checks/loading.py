@@ -229,5 +229,5 @@ def _(t):
     rows.filter(early).coalesce(1).write.mode("append").parquet(src)
     rows.filter(~early).coalesce(1).write.mode("append").parquet(src)
     stream = landing.stream_files(t.spark, src, rows.schema, max_files=1)
-    newest = landing.stream_upsert(stream, "user_id", "ts", target, checkpoint, ["event_id"])
-    return t.spark.read.parquet(newest)
+    landing.stream_upsert(stream, "user_id", "ts", target, checkpoint, ["event_id"], buckets=8)
+    return landing.read_state(t.spark, target, rows.schema)

@@ -2,7 +2,8 @@
 
 Running values are computed inside (key, chunk of the order column); the chunk totals, one small row
 per key and chunk, carry the offset from one chunk to the next. Totals over a whole key are a partial
-aggregate joined back, so adaptive skew handling can split the hot side.
+aggregate joined back, so adaptive skew handling can split the hot side. Both read their input twice (rows
+and totals): after an expensive step, store the rows first (``session.materialize``).
 """
 
 from __future__ import annotations

@@ -10,13 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 _local_base: dict[str, str] = {}
 
 
+def partitions_for(input_bytes: int, per_partition: int = 200 * 1024 * 1024, at_least: int = 200) -> int:
+    """Shuffle partitions for an input of this size; AQE merges the ones that turn out small."""
+    return max(at_least, -(-input_bytes // per_partition))
+
+
 def build_session(
     app: str = "ledgerlake",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Session with the settings the operators rely on: UTC, ANSI, AQE with skew-join splitting."""
+    """Session with the settings the operators rely on: UTC, ANSI, AQE with skew-join splitting.
+
+    Give ``input_bytes``, the size of the largest history read, and the shuffles are sized to it.
+    """
+    if shuffle_partitions is None and input_bytes is not None:
+        shuffle_partitions = partitions_for(input_bytes)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

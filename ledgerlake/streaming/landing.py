@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators.incremental import upsert
-from ledgerlake.operators.ordering import Names
+from ledgerlake.operators.latest import latest_per_key
+from ledgerlake.operators.ordering import Names, names
 from ledgerlake.sources.sinks import ROWS_PER_FILE
 
 
@@ -41,6 +44,32 @@ def stream_dedupe(df: DataFrame, keys: Names, ts: str, delay: str = "1 day") ->
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def _versions(spark: SparkSession, target: str, before: int) -> dict[int, int]:
+    """Newest state version below ``before`` per bucket; one small row per bucket."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return {}
+        raise
+    found = files.select(
+        F.regexp_extract("path", r"/v=(\d+)/", 1).cast("bigint").alias("v"),
+        F.regexp_extract("path", r"/bucket=(\d+)/", 1).cast("int").alias("bucket"),
+    )
+    newest = found.filter(F.col("v") < before).groupBy("bucket").agg(F.max("v").alias("v"))
+    return {r["bucket"]: r["v"] for r in newest.collect()}
+
+
+def _state_paths(target: str, versions: dict[int, int]) -> list[str]:
+    return [f"{target}/v={v}/bucket={b}" for b, v in sorted(versions.items())]
+
+
+def read_state(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The current state kept by :func:`stream_upsert`."""
+    paths = _state_paths(target, _versions(spark, target, 2**62))
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def stream_upsert(
     df: DataFrame,
     key: Names,
@@ -48,36 +77,32 @@ def stream_upsert(
     target: str,
     checkpoint: str,
     ties: Sequence[str] = (),
-) -> str:
-    """Keep the current state per key from a change stream.
+    buckets: int = 256,
+) -> None:
+    """Keep the current state per key from a change stream; read it with :func:`read_state`.
 
-    Every micro-batch writes a new state folder ``v=<batch>`` from the one before it, so a batch that is
-    run again after a failure gives the same folder. Returns the folder of the newest state.
+    The state is split into hash buckets of the key. A micro-batch rewrites only the buckets it touches, as
+    a new version ``v=<batch>`` made from the versions before it, so a batch that runs again after a failure
+    gives the same result and untouched buckets are never copied.
     """
     spark = df.sparkSession
-
-    def state(batch: int) -> str:
-        return f"{target}/v={batch}"
-
-    def newest(before: int) -> int | None:
-        try:
-            listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
-        found = (
-            listing.selectExpr("try_cast(regexp_extract(path, '/v=([0-9]+)/', 1) AS int) AS v")
-            .filter(f"v < {before}")
-            .agg({"v": "max"})
-            .first()[0]
-        )
-        return found
+    schema = df.schema
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in names(key)]), F.lit(buckets)).cast("int")
 
     def merge(rows: DataFrame, batch: int) -> None:
-        previous = newest(batch)
-        base = rows.limit(0) if previous is None else spark.read.schema(rows.schema).parquet(state(previous))
-        upsert(base, rows, key, ts, ties).write.mode("overwrite").parquet(state(batch))
+        # what the batch brings is reduced first: one row per key
+        changes = latest_per_key(rows, key, [ts, *ties]).withColumn("bucket", bucket).persist()
+        touched = {r["bucket"] for r in changes.select("bucket").distinct().collect()}
+        known = {b: v for b, v in _versions(rows.sparkSession, target, batch).items() if b in touched}
+        merged = changes
+        if known:
+            paths = _state_paths(target, known)
+            before = rows.sparkSession.read.schema(schema).parquet(*paths).withColumn("bucket", bucket)
+            merged = upsert(before, changes, key, ts, ties)
+        merged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{target}/v={batch}"
+        )
+        changes.unpersist()
 
     query = (
         df.writeStream.foreachBatch(merge)
@@ -86,4 +111,3 @@ def stream_upsert(
         .start()
     )
     _finish(query)
-    return state(newest(2**62))
