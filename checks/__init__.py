@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import pkgutil
 
-_SUPPORT = {"registry", "compare", "bank"}
+_SUPPORT = {"registry", "compare", "bank", "portable"}
 
 
 def load_all() -> None:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from checks import portable
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -32,9 +34,9 @@ def check(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: portable.frame(name, fn(Tables(spark, folder)))
         if sql:
-            ORACLE[name] = sql
+            ORACLE[name] = portable.sql(name, sql)
         return fn
 
     return register
