@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import language_id, quality
+from ledgerlake.llm import decontaminate, exact_dedup, language_id, packing, quality, sharding
 
+#: Folder of the vocabulary files of public tokenizers; None asks the installed package.
+TOKENIZERS: str | None = None
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +32,39 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("n_chunks")
+
+
+ORACLE["op2_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256
+FROM n JOIN g USING (norm)
+"""
+
+
+@query
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, folder, "documents"))
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_file())
+
+
+@query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
