@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, exact_dedup, language_id, packing, quality, sharding
+from ledgerlake.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, sharding
 
 #: Folder of the vocabulary files of public tokenizers; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -68,3 +68,13 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(table(spark, folder, "documents"))
+
+
+@query
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
