@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, sharding
+from ledgerlake.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, sharding, suffix_dedup
 
 #: Folder of the vocabulary files of public tokenizers; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -78,3 +78,8 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
