@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.llm import words as W
 
@@ -122,10 +123,9 @@ def matches(documents: DataFrame, benchmark: DataFrame, settings: Settings = Set
     Spans are maximal runs of hit words, in order and apart.
     """
     context = documents.sparkSession.sparkContext
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
-    schema = ", ".join(
-        [*(f"`{c}` {kinds[c]}" for c in keep), "n_words long", "hit_spans array<struct<start:long,stop:long,words:long>>", "items array<string>"]
-    )
+    spans = T.StructType().add("start", "long").add("stop", "long").add("words", "long")
+    schema = T.StructType([documents.schema[c] for c in keep]).add("n_words", "long").add("hit_spans", T.ArrayType(spans))
+    schema = schema.add("items", T.ArrayType(T.StringType()))
     # several blocks are several automata over one reading of the texts
     sent = [context.broadcast(block) for block in _blocks(benchmark, settings)]
 

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.llm import words as W
 from ledgerlake.llm.quality import held_out
@@ -137,8 +138,7 @@ def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple
             columns = [batch.column(c) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string", "score double"])
+    schema = T.StructType([documents.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double")
     return documents.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 

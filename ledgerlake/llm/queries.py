@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, quality, sharding, suffix_dedup
+from ledgerlake.llm import decontaminate, exact_dedup, html_text, language_id, lm_scoring, near_dedup, packing, quality, sharding, suffix_dedup
 
 #: Folder of the vocabulary files of public tokenizers; None asks the installed package.
 TOKENIZERS: str | None = None
@@ -83,3 +83,9 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return lm_scoring.score(documents, lm_scoring.fit(documents))
