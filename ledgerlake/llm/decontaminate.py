@@ -33,7 +33,7 @@ from ledgerlake.llm import words as W
 @dataclass(frozen=True)
 class Settings:
     window: int = 10
-    block_windows: int = 200_000
+    block_windows: int = 40_000
 
 
 #: A-Z to a-z, separators to a blank; every byte of a character beyond ASCII belongs to a word.
@@ -133,8 +133,10 @@ def matches(documents: DataFrame, benchmark: DataFrame, settings: Settings = Set
         if len(sent) <= 1:
             first = build(sent[0].value) if sent else None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            # an automaton takes some 4 kB a window, so several are built anew for each slice of rows
+            step = 256 if len(sent) <= 1 else 8192
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
                 texts = part.column("_text").to_pylist()
                 results = [None] * len(texts)
                 for block in sent or [None]:
