@@ -14,15 +14,24 @@ def _linked_to_least(directed: DataFrame, least: DataFrame) -> DataFrame:
     return directed.join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v")
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a lesser node that has none itself."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1")
+    return odd.isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """`node` and `root`, the least node it is linked with over any number of links (columns u and v).
 
     Nodes without a link to another node do not appear. The links are rewritten until every node hangs on its
     root, in a number of rounds that grows with the logarithm of the longest chain.
     """
-    links = materialize(links.where("u <> v").select("u", "v").distinct(), "links")
-    seen = None
-    while True:
+    down = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    links = materialize(down.distinct(), "links")
+    while not _all_stars(links):
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: the larger neighbours of every node go to the least of its neighbourhood
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
@@ -32,10 +41,6 @@ def components(links: DataFrame) -> DataFrame:
         least = materialize(down.groupBy("u").agg(F.min("v").alias("low")), "least-below")
         up = down.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
         links = materialize(up.union(least.select("u", F.col("low").alias("v"))).distinct(), "small-star")
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == seen:
-            break
-        seen = state
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

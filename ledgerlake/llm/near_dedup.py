@@ -18,6 +18,7 @@ class where that has one, else null. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -37,7 +38,10 @@ U64 = np.uint64
 
 @dataclass(frozen=True)
 class Settings:
-    """`bands` times `rows` hashes; `percent` is the least similarity; `miss` the chance to drop a pair a batch."""
+    """`bands` times `rows` hashes; `percent` is the least similarity; `miss` the chance to drop a pair a batch.
+
+    Nodes of buckets of more than `block` nodes get `deep` hashes more, which tell their many pairs apart better.
+    """
 
     shingle: int = 5
     percent: int = 85
@@ -45,7 +49,8 @@ class Settings:
     rows: int = 6
     miss: float = 1e-4
     block: int = 128
-    leaders: int = 4
+    leaders: int = 2
+    deep: int = 512
 
     @property
     def hashes(self) -> int:
@@ -57,9 +62,9 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(W.shingles(W.blank_words((text or "").encode(errors="replace")), size))
 
 
-def signature(shingles: np.ndarray, hashes: int) -> bytes:
+def signature(shingles: np.ndarray, hashes: int, seed: int = 8) -> bytes:
     """Low 16 bits of the least value under each hash function."""
-    factors = np.random.default_rng(8).integers(1, 1 << 62, hashes, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+    factors = np.random.default_rng(seed).integers(1, 1 << 62, hashes, dtype=np.int64).astype(U64) * U64(2) + U64(1)
     least = np.full(hashes, (1 << 32) - 1, U64)
     for at in range(0, len(shingles), 512):
         values = (shingles[None, at : at + 512] * factors[:, None]) >> U64(32)
@@ -67,25 +72,26 @@ def signature(shingles: np.ndarray, hashes: int) -> bytes:
     return (least & U64(0xFFFF)).astype("<u2").tobytes()
 
 
-def thresholds(settings: Settings) -> list[tuple[int, int]]:
-    """(hashes compared, least agreements to go on) after each batch of four bands."""
-    t = settings.percent / 100
-    found = []
-    for n in range(4 * settings.rows, settings.hashes + 1, 4 * settings.rows):
+@functools.cache
+def thresholds(hashes: int, batch: int, percent: int, miss: float) -> tuple[tuple[int, int], ...]:
+    """(hashes compared, least agreements to go on) after each batch."""
+    t, found = percent / 100, []
+    for n in sorted({*range(batch, hashes, batch), hashes}):
         # with a uniform prior, P(similarity >= t | m of n agree) = P(Binomial(n + 1, t) <= m)
         total, m = 0.0, -1
-        while total < settings.miss:
+        while total < miss:
             m += 1
-            total += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+            ways = math.lgamma(n + 2) - math.lgamma(m + 1) - math.lgamma(n + 2 - m)
+            total += math.exp(ways + m * math.log(t) + (n + 1 - m) * math.log(1 - t))
         found.append((n, m))
-    return found
+    return tuple(found)
 
 
 def survivors(left: np.ndarray, right: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], settings: Settings):
     """The pairs (indices into left and right signatures) that pass every batch."""
     a, b = pairs
     agreed, done = np.zeros(len(a), np.int32), 0
-    for n, least in thresholds(settings):
+    for n, least in thresholds(left.shape[1], 4 * settings.rows, settings.percent, settings.miss):
         agreed = agreed + (left[a, done:n] == right[b, done:n]).sum(axis=1, dtype=np.int32)
         keep = agreed >= least
         a, b, agreed, done = a[keep], b[keep], agreed[keep], n
@@ -93,7 +99,7 @@ def survivors(left: np.ndarray, right: np.ndarray, pairs: tuple[np.ndarray, np.n
 
 
 def first_shared_band(left: np.ndarray, right: np.ndarray, settings: Settings) -> np.ndarray:
-    same = (left == right).reshape(len(left), settings.bands, settings.rows).all(axis=2)
+    same = (left[:, : settings.hashes] == right[:, : settings.hashes]).reshape(-1, settings.bands, settings.rows).all(axis=2)
     return np.where(same.any(axis=1), same.argmax(axis=1), -1)
 
 
@@ -168,14 +174,19 @@ def _arrow(kind: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
 
-def verified(pairs: DataFrame, sets: DataFrame, kind: str, settings: Settings) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
+def verified(pairs: DataFrame, texts: DataFrame, kind: str, settings: Settings) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold.
+
+    Texts travel, not their sets, which are larger. The joins shuffle at every size, so that nothing that grows
+    with the pairs is broadcast.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small_set = functools.lru_cache(1024)(lambda text: shingle_set(text, settings.shingle))
         for batch in batches:
             left, right = [], []
             for u, v, one, two in W.rows([batch], "u", "v", "one", "two"):
-                x, y = np.frombuffer(one, U64), np.frombuffer(two, U64)
+                x, y = (small_set(t) if len(t) < 20_000 else shingle_set(t, settings.shingle) for t in (one, two))
                 # similarity is at most the ratio of the sizes
                 if 100 * min(len(x), len(y)) < settings.percent * max(len(x), len(y)):
                     continue
@@ -185,23 +196,10 @@ def verified(pairs: DataFrame, sets: DataFrame, kind: str, settings: Settings) -
                     right.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(left, _arrow(kind)), pa.array(right, _arrow(kind))], ["u", "v"])
 
-    one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("one"))
-    two = sets.select(F.col("node").alias("v"), F.col("shingles").alias("two"))
-    return pairs.join(one, "u").join(two, "v").select("u", "v", "one", "two").mapInArrow(run, f"u {kind}, v {kind}")
-
-
-def _shingle_sets(documents: DataFrame, wanted: DataFrame, kind: str, settings: Settings) -> DataFrame:
-    """Full shingle sets of the wanted nodes; texts move once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [shingle_set(t, settings.shingle).tobytes() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
-
-    texts = documents.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
-    return texts.mapInArrow(run, f"node {kind}, shingles binary")
+    one = texts.select(F.col("node").alias("u"), F.col("text").alias("one"))
+    two = texts.select(F.col("node").alias("v"), F.col("text").alias("two"))
+    joined = pairs.hint("merge").join(one, "u").hint("merge").join(two, "v")
+    return joined.select("u", "v", "one", "two").mapInArrow(run, f"u {kind}, v {kind}")
 
 
 def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -225,7 +223,9 @@ def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sizes = materialize(places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = materialize(places.join(sizes, "bucket"), "members")
     wanted = members.select("node").distinct()
-    sets = materialize(_shingle_sets(documents, wanted, kind, settings), "sets")
+    # the texts that may be verified, moved once
+    texts = documents.select(F.col("doc_id").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = materialize(texts.join(wanted.hint("merge"), "node", "left_semi"), "texts")
     signed = nodes.join(wanted, "node", "left_semi").select("node", "signature")
     signed = materialize(signed, "signed")
 
@@ -233,18 +233,15 @@ def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     small = members.where(F.col("n") <= settings.block).join(signed, "node")
     groups = small.groupBy("bucket", "band").agg(F.collect_list(item).alias("nodes"))
     pairs = materialize(compare_inside(groups, kind, settings), "pairs")
-    links = materialize(verified(pairs, sets, kind, settings), "links")
-    found = materialize(components(links), "components")
-
+    links = materialize(verified(pairs, texts, kind, settings), "links")
     large = members.where(F.col("n") > settings.block)
     if not large.isEmpty():
-        found = _large_buckets(large, signed, sets, links, found, kind, settings)
+        links = _large_buckets(materialize(large, "large"), signed, texts, links, kind, settings)
+    found = materialize(components(links), "components")
 
     # every row gets the class of its node
-    by_set = rows.groupBy("set_key").agg(F.min("doc_id").alias("node")).where("set_key IS NOT NULL AND node IS NOT NULL")
-    rooted = materialize(
-        by_set.join(found, "node", "left").select("set_key", F.coalesce("root", "node").alias("root")), "rooted"
-    )
+    rooted = nodes.select("set_key", "node").join(found, "node", "left")
+    rooted = materialize(rooted.select("set_key", F.coalesce("root", "node").alias("root")), "rooted")
     out = rows.drop("signature").join(rooted, "set_key", "left")
     component = F.coalesce("root", "doc_id").alias("component_id")
     return out.select("doc_id", "n_shingles", component).withColumn(
@@ -256,31 +253,43 @@ def _with_roots(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _large_buckets(large: DataFrame, signed: DataFrame, sets: DataFrame, links: DataFrame, found: DataFrame, kind: str, settings: Settings) -> DataFrame:
-    large = materialize(large, "large")
+def _deep(signed: DataFrame, texts: DataFrame, kind: str, settings: Settings) -> DataFrame:
+    """Longer signatures: those at hand and `deep` hashes more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            longer = [
+                short + signature(shingle_set(text, settings.shingle), settings.deep, 9)
+                for short, text in W.rows([batch], "signature", "text")
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(longer, pa.binary())], ["node", "signature"])
+
+    return texts.join(signed.hint("merge"), "node").select("node", "signature", "text").mapInArrow(run, f"node {kind}, signature binary")
+
+
+def _large_buckets(large: DataFrame, signed: DataFrame, texts: DataFrame, links: DataFrame, kind: str, settings: Settings) -> DataFrame:
+    """The links with those of the large buckets that join components (columns bucket, node, band, n)."""
+    wanted = materialize(large.select("node").distinct(), "large-nodes")
+    texts = materialize(texts.join(wanted.hint("merge"), "node", "left_semi"), "large-texts")
+    signed = materialize(_deep(signed.join(wanted, "node", "left_semi"), texts, kind, settings), "deep")
     a, b = signed.select(F.col("node").alias("u"), F.col("signature").alias("one")), signed.select(
         F.col("node").alias("v"), F.col("signature").alias("two")
     )
-    # leaders, another one in each band and turn: one row a member
-    for turn in range(settings.leaders):
-        here = _with_roots(large, found)
-        leaders = here.groupBy("bucket").agg(
-            F.min_by(F.struct("node", "root"), F.xxhash64("node", "band", F.lit(turn))).alias("leader"),
-            F.count_distinct("root").alias("roots"),
-        )
-        leaders = materialize(leaders.where("roots > 1").select("bucket", "leader"), "leaders")
-        stars = (
-            here.join(leaders, "bucket")
-            .where("root <> leader.root")
-            .select(F.least("node", "leader.node").alias("u"), F.greatest("node", "leader.node").alias("v"))
-            .distinct()
-        )
-        stars = materialize(_agreeing(stars.join(a, "u").join(b, "v"), kind, settings), "stars")
-        links = links.union(verified(stars, sets, kind, settings))
-        links = materialize(links, "links")
-        found = materialize(components(links), "components")
+    # a few leaders, others in each band: as many rows a member
+    chosen = F.array(*(F.min_by("node", F.xxhash64("node", "band", F.lit(k))) for k in range(settings.leaders)))
+    leaders = large.groupBy("bucket").agg(F.array_distinct(chosen).alias("leaders"))
+    leaders = materialize(leaders.select("bucket", F.explode("leaders").alias("leader")), "leaders")
+    stars = (
+        large.join(leaders, "bucket")
+        .where("node <> leader")
+        .select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v"))
+        .distinct()
+    )
+    stars = materialize(_agreeing(stars.join(a, "u").join(b, "v"), kind, settings), "stars")
+    links = materialize(links.union(verified(stars, texts, kind, settings)), "links")
+    found = materialize(components(links), "components")
     # blocks by component: the members of the bucket's largest class never meet each other again
-    here = materialize(_with_roots(large, found), "here")
+    here = _with_roots(large, found)
     each = here.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("in_root"))
     main = materialize(each.groupBy("bucket").agg(F.max_by("root", "in_root").alias("main"), F.max("in_root").alias("n_main"), F.count(F.lit(1)).alias("roots")).where("roots > 1"), "main")
     here = here.join(main, "bucket").withColumn("is_main", F.col("root") == F.col("main"))
@@ -295,9 +304,8 @@ def _large_buckets(large: DataFrame, signed: DataFrame, sets: DataFrame, links:
     both = left.join(right, "bucket").where(F.col("is_main") | (F.col("block_a") <= F.col("block_b"))).select(
         "band", (~F.col("is_main") & (F.col("block_a") == F.col("block_b"))).alias("same"), "left", "right"
     )
-    pairs = materialize(compare_across(both, kind, settings).distinct(), "cross-pairs")
-    links = links.union(verified(pairs, sets, kind, settings))
-    return materialize(components(links), "components")
+    pairs = materialize(compare_across(both, kind, settings), "cross-pairs")
+    return links.union(verified(pairs, texts, kind, settings))
 
 
 def _agreeing(pairs: DataFrame, kind: str, settings: Settings) -> DataFrame:
