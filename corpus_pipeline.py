@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,19 +18,30 @@ def _carried(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"], docs["text"])
 
 
-def _only(docs: DataFrame, ids: DataFrame, text_key: Column) -> DataFrame:
-    """Rows whose doc_id is among the ids; of rows alike in id and text one stays."""
-    counts = materialize(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")), "kept-ids")
-    right = counts.select(F.col("doc_id").alias("_kept_id"), F.col("copies").alias("_copies"))
-    carried = _carried(docs)
-    found = carried.join(right, carried["doc_id"].eqNullSafe(right["_kept_id"]))
+def _only(keyed: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys (null matches null) are among the kept; of rows alike in all keys one stays."""
+    counts = materialize(kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")), "kept-keys")
+    right = counts.select(*(F.col(k).alias(f"_kept_{k}") for k in keys), F.col("copies").alias("_copies"))
+    found = keyed.join(right, functools.reduce(Column.__and__, (keyed[k].eqNullSafe(right[f"_kept_{k}"]) for k in keys)))
     single = found.where("_copies = 1").select("row")
-    repeated = found.where("_copies > 1").withColumn("_key", text_key).groupBy("doc_id", "_key").agg(F.first("row").alias("row")).select("row")
     if counts.where("copies > 1").isEmpty():
         return single.select("row.*")
+    repeated = found.where("_copies > 1").groupBy(*keys).agg(F.first("row").alias("row")).select("row")
     return single.union(repeated).select("row.*")
 
 
+def _row_key(docs: DataFrame, hashed: Callable[..., Column] = F.xxhash64) -> Column:
+    """A number of doc_id and text, the same for rows alike in both and, which is checked, for no others."""
+    parts = F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")
+    content = F.struct("doc_id", F.sha2(F.col("text").cast("binary"), 256)).alias("content")
+    for seed in range(8):
+        key = hashed(F.lit(seed), *parts)
+        contents = docs.select(key.alias("key"), content).groupBy("key").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+        if contents.where(~F.col("a").eqNullSafe(F.col("b"))).isEmpty():
+            return key
+    raise RuntimeError("different documents have one key under every seed")
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter go."""
     seen = language_id.predict(_carried(docs), language_id.fit(docs), ("row",))
@@ -36,14 +50,22 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the smallest id."""
-    kept = exact_dedup.exact_groups(docs).where("kept").select("doc_id")
-    return _only(docs, kept, F.xxhash64(exact_dedup.normalised(F.col("text"))))
+    kept = exact_dedup.exact_groups(docs).where("kept").select("doc_id", "text_sha256")
+    digest = F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256)
+    return _only(_carried(docs).withColumn("text_sha256", digest), kept, ["doc_id", "text_sha256"])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, that with the smallest id."""
-    kept = near_dedup.classes(docs).where("kept").select("doc_id")
-    return _only(docs, kept, F.lit(0))
+    """One document of each class of near copies, that with the smallest id.
+
+    Rows are compared by a key of id and text, so that rows without an id or with a repeated one count each.
+    """
+    keyed = _carried(docs).withColumn("key", _row_key(docs))
+    found = near_dedup.classes(keyed.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id")
+    ids = materialize(keyed.select("key", "doc_id"), "row-keys")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    kept = found.distinct().join(ids.distinct(), "key").groupBy("component_id").agg(F.min(first).alias("first")).select("first.key")
+    return _only(keyed, ids.join(kept, "key", "left_semi"), ["key"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

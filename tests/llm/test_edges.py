@@ -341,3 +341,32 @@ def test_pipeline_stages(spark, twice, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()} == {4, 6, 11, 12, 13, 15}
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, texts.where("false"), str(tmp_path)).count() == 0
+
+
+def test_pipeline_stages_tell_rows_apart(spark):
+    """Rows without an id, and different texts of one id, through both stages of copies."""
+    rows = [(None, words(40, 100 + i)) for i in range(6)]
+    rows += [(5, words(60, 200)), (5, words(60, 201)), (3, words(60, 201)), (7, words(60, 202)), (7, words(60, 203)), (7, words(60, 203))]
+    rows += [(None, words(80, 300)), (None, words(80, 300)), (None, edited(words(80, 300), 1, 1)), (9, edited(words(80, 300), 1, 2))]
+    rows += [(11, words(80, 400)), (11, edited(words(80, 400), 1, 3)), (None, edited(words(80, 500), 1, 4)), (None, words(80, 500))]
+    least = {}
+    for i, text in rows:
+        least[text] = min((x for x in (i, least.get(text)) if x is not None), default=None)
+    kept = same(corpus_pipeline.drop_copies(spark, frame(spark, rows), ""), "doc_id", "text")
+    assert kept == sorted(((i, text) for text, i in least.items()), key=repr)
+    # one row of each class; its id is the smallest
+    kept.sort(key=lambda x: (x[0] is None, x[0]))
+    classes = {}
+    for at, _, root, _ in brute.near([(at, text) for at, (_, text) in enumerate(kept)]):
+        classes.setdefault(root, set()).add(kept[at])
+    for texts in (kept, rows):
+        found = same(corpus_pipeline.drop_near_copies(spark, frame(spark, texts).repartition(3), ""), "doc_id", "text")
+        assert len(found) == len(classes) < len(kept)
+        assert all(len(x & set(found)) == 1 for x in classes.values())
+        assert sorted(str(i) for i, _ in found) == sorted(str(kept[root][0]) for root in classes)
+
+
+def test_row_keys_are_checked(spark):
+    docs = frame(spark, [(1, "a"), (1, "b"), (None, "a"), (1, None), (None, None), (1, "a")])
+    weak = lambda seed, *parts: F.when(seed == 0, F.lit(0)).otherwise(F.xxhash64(seed, *parts))
+    assert docs.select(corpus_pipeline._row_key(docs, weak)).distinct().count() == 5
