@@ -228,6 +228,28 @@ def test_encoder_gives_the_ids_of_the_file():
         assert fast.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_are_one_id(spark):
+    """Against the file's tokenizer as it is, without encode_special_tokens."""
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    mark = "<|endoftext|>"
+    tokenizer = Tokenizer.from_file(tokenizer_file())
+    assert tokenizer.encode(f"a{mark}b", add_special_tokens=False).ids == [64, 50256, 65]
+    parts, pick = [mark, "a", " b", "  ", "\n\n", "<|", "|>", "é", "1 "], random.Random(12)
+    texts = [mark, f"a{mark}b", f"a  {mark}  b", mark * 3, "".join(f"w{i} {mark} " for i in range(1500))]
+    texts += ["".join(pick.choice(parts) for _ in range(12)) for _ in range(200)]
+    found = {}
+    for r in packing.tokenised(frame(spark, list(enumerate(texts))), tokenizer_file()).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32))
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert sum(n for _, n, _ in found[i]) == len(ids), text
+        assert all(crc == zlib.crc32(ids[at : at + n].tobytes()) for at, n, crc in found[i]), text
+
+
 def test_sharding_laws(spark):
     hot = [(i, "hot") for i in range(400)]
     rows = hot + [(400 + i, f"pair {i // 2}") for i in range(200)] + [(1000 + i, f"single {i}") for i in range(500)]
