@@ -2,13 +2,18 @@
 
 Words are hashed into `classes`. The network predicts a word's class from the two words on each side: the context
 vectors, weighted by place, add up to a hidden layer, and the class is predicted in two steps of the square root of
-`classes` (a softmax over the class's group, then one over the class inside it). A text's score is the sum over
-all of its words of the logarithm of that conditional probability.
+`classes` (a softmax over the class's group, then one over the class inside it). A word's probability is that of its
+class given both sides, times that of the word in its class: its count in the corpus by the counts of all words of
+the class and one more, which is the share of a word that the corpus does not hold. A text's score is the sum over
+all of its words of the logarithm of that product.
 
-Training goes over all texts in every round, with a share of the words of each text masked as targets. Workers
-train on their own texts from the round's weights and send their weights after every `send_after` words; Spark adds
-them up, weighted by words, and the mean is the next round's start. Only weights, whose number the settings fix,
-come to the driver.
+Training goes over all texts in every round, with a share of the words of each text masked as targets; after
+`masked` rounds each word was a target once. Workers train on their own texts from the round's weights and send
+their weights after every `send_after` words; Spark adds them up, weighted by words, and the mean is the next
+round's start. Only weights and the totals of the classes, whose number the settings fix, come to the driver.
+
+The vocabulary is a Spark table that grows with the corpus. Texts are dealt into chunks; a chunk asks for each of its
+words once, so a common word costs one row a chunk. Words are known by 64-bit hashes.
 
 Defined results: a null text or one without a word has n_words 0, score 0 and a null mean. At the edges the missing
 neighbours are one special word. Without any text the weights stay as they were drawn. Repeated documents count
@@ -26,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
+from ledgerlake.session import materialize
 
 U64 = np.uint64
 PLACES = (-2, -1, 1, 2)
@@ -34,7 +40,10 @@ _PART = 1024  # weights sent in one row
 
 @dataclass(frozen=True)
 class Settings:
-    """Every `masked`-th word of a text is a target in training; all are when scoring."""
+    """Every `masked`-th word of a text is a target in a round of training, others in the next; all are when scoring.
+
+    With at least `masked` rounds every word is a target. A chunk ends after `chunk_words` words.
+    """
 
     groups: int = 32  # classes = groups * groups
     inputs: int = 4096
@@ -44,6 +53,7 @@ class Settings:
     rate: float = 0.15
     batch: int = 2048
     send_after: int = 1_000_000
+    chunk_words: int = 1 << 19
 
     @property
     def shapes(self) -> dict[str, tuple[int, ...]]:
@@ -88,9 +98,21 @@ def unflat(values: np.ndarray, settings: Settings) -> Weights:
 
 def encoded(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Input and class of every word of a text."""
-    hashes = W.blank_words((text or "").encode(errors="replace"))
-    classes = settings.groups**2
-    return (hashes % U64(settings.inputs)).astype(np.int32), ((hashes >> U64(32)) % U64(classes)).astype(np.int32)
+    hashes = word_hashes(text)
+    return (hashes % U64(settings.inputs)).astype(np.int32), classes_of(hashes, settings)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    return W.blank_words((text or "").encode(errors="replace"))
+
+
+def classes_of(hashes: np.ndarray, settings: Settings) -> np.ndarray:
+    return ((hashes >> U64(32)) % U64(settings.groups**2)).astype(np.int32)
+
+
+def targets(n_words: int, turn: int, settings: Settings) -> slice:
+    """The words of a text that are targets in a round."""
+    return slice((n_words + turn) % settings.masked, None, settings.masked)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -188,7 +210,7 @@ def _trained(documents: DataFrame, start: np.ndarray, turn: int, settings: Setti
         for (text,) in W.rows(batches, "text"):
             inputs, classes = encoded(text, settings)
             # another share of the words in every text and round
-            chosen = slice((len(inputs) + turn) % settings.masked, None, settings.masked)
+            chosen = targets(len(inputs), turn, settings)
             if len(classes[chosen]):
                 around.append(neighbours(inputs, settings)[chosen])
                 target.append(classes[chosen])
@@ -225,8 +247,11 @@ def fit(documents: DataFrame, settings: Settings = Settings()) -> np.ndarray:
 
 
 def log_probabilities(text: str | None, weights: Weights, settings: Settings) -> np.ndarray:
-    """Logarithm of every word's conditional probability."""
-    inputs, classes = encoded(text, settings)
+    """Logarithm of the conditional probability of every word's class."""
+    return _log_probabilities(*encoded(text, settings), weights, settings)
+
+
+def _log_probabilities(inputs: np.ndarray, classes: np.ndarray, weights: Weights, settings: Settings) -> np.ndarray:
     around, out = neighbours(inputs, settings), [np.empty(0, np.float32)]
     for at in range(0, len(classes), settings.batch):
         *_, first, second = forward(weights, around[at : at + settings.batch], classes[at : at + settings.batch], settings)
@@ -235,7 +260,7 @@ def log_probabilities(text: str | None, weights: Weights, settings: Settings) ->
 
 
 def score(documents: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_words, score (summed log-probabilities) and mean of every document; no shuffle."""
+    """doc_id, n_words, score (summed log-probabilities of classes) and mean of every document; no shuffle."""
     sent = documents.sparkSession.sparkContext.broadcast(values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,3 +278,92 @@ def score(documents: DataFrame, values: np.ndarray, settings: Settings = Setting
     kind = documents.schema["doc_id"].dataType.simpleString()
     scored = documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, score double")
     return scored.withColumn("mean", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")))
+
+
+def chunked(documents: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
+    """Chunks of documents: words with their counts, and of every document its id, words and classes' log-probability.
+
+    `at` has the place of every word of the chunk's texts among its words, which are in unsigned order.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(values)
+    kind = documents.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = unflat(sent.value, settings)
+        ids, hashes, scores, held = [], [], [], 0
+
+        def chunk():
+            nonlocal ids, hashes, scores, held
+            words, at, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            id_type = ids[0].type
+            columns = {
+                "ids": (pa.concat_arrays(ids), id_type),
+                "n_words": ([len(x) for x in hashes], pa.int64()),
+                "scores": (scores, pa.float64()),
+                "words": (words.view(np.int64), pa.int64()),
+                "counts": (counts, pa.int64()),
+                "at": (at.astype(np.int32), pa.int32()),
+            }
+            ids, hashes, scores, held = [], [], [], 0
+            arrays = []
+            for found, sort in columns.values():
+                flat_values = found if isinstance(found, pa.Array) else pa.array(found, sort)
+                arrays.append(pa.ListArray.from_arrays(pa.array([0, len(flat_values)], pa.int32()), flat_values))
+            return pa.RecordBatch.from_arrays(arrays, list(columns))
+
+        for batch in batches:
+            texts = batch.column("text")
+            for k in range(batch.num_rows):
+                found = word_hashes(texts[k].as_py())
+                logs = _log_probabilities((found % U64(settings.inputs)).astype(np.int32), classes_of(found, settings), weights, settings)
+                ids.append(batch.column("doc_id").slice(k, 1))
+                hashes.append(found)
+                scores.append(float(logs.sum(dtype=np.float64)))
+                held += len(found) + 1
+                if held >= settings.chunk_words:
+                    yield chunk()
+        if ids:
+            yield chunk()
+
+    shape = f"ids array<{kind}>, n_words array<long>, scores array<double>, words array<long>, counts array<long>, at array<int>"
+    chunks = documents.select("doc_id", "text").mapInArrow(run, shape)
+    return materialize(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+
+
+def vocabulary(chunks: DataFrame) -> DataFrame:
+    """Every word of the chunks and its count."""
+    each = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))
+    return materialize(each.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")), "vocabulary")
+
+
+def score_words(chunks: DataFrame, vocabulary: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, n_words, score (summed log-probabilities of words) and mean of every document of the chunks."""
+    classes = settings.groups**2
+    totals = np.ones(classes)  # one more for words that the corpus does not hold
+    of = F.expr(f"shiftrightunsigned(word, 32) % {classes}").alias("class")
+    for r in vocabulary.groupBy(of).agg(F.sum("n").alias("n")).collect():  # as many rows as there are classes
+        totals[r["class"]] += r.n
+    sent = chunks.sparkSession.sparkContext.broadcast(totals)
+    kind = chunks.schema["ids"].dataType.elementType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, n_words, scores, at, found = (batch.column(c)[k].values for c in ("ids", "n_words", "scores", "at", "found"))
+                n_words = n_words.to_numpy()
+                total = scores.to_numpy()
+                if found is not None and len(found):
+                    words = found.field("word").to_numpy().view(U64)
+                    counts = found.field("n").to_numpy()
+                    order = np.argsort(words)
+                    logs = np.log(np.maximum(counts, 1) / sent.value[classes_of(words, settings)])[order]
+                    which = np.repeat(np.arange(len(n_words)), n_words)
+                    total = total + np.bincount(which, logs[at.to_numpy()], len(n_words))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_words", "score"])
+
+    asked = chunks.select("chunk", F.explode("words").alias("word"))
+    known = asked.join(vocabulary.hint("merge"), "word", "left").select("chunk", F.struct("word", F.coalesce("n", F.lit(0)).alias("n")).alias("x"))
+    found = known.groupBy("chunk").agg(F.collect_list("x").alias("found"))
+    joined = chunks.drop("words", "counts").hint("merge").join(found, "chunk", "left")
+    scored = joined.select("ids", "n_words", "scores", "at", "found").mapInArrow(run, f"doc_id {kind}, n_words long, score double")
+    return scored.withColumn("mean", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")))

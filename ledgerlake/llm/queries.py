@@ -88,7 +88,8 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    return lm_scoring.score(documents, lm_scoring.fit(documents))
+    chunks = lm_scoring.chunked(documents, lm_scoring.fit(documents))
+    return lm_scoring.score_words(chunks, lm_scoring.vocabulary(chunks))
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -299,6 +299,35 @@ def test_lm_scores_of_hard_texts(docs):
     assert all(r.score < 0 for i, r in rows.items() if i > 3) and rows[13].n_words == 20_000
 
 
+def test_lm_scores_tell_words_of_a_class_apart(spark, docs):
+    """Class probability times the word's share of its class; words that the vocabulary lacks share one count more."""
+    from collections import Counter
+    from math import log
+
+    settings = lm_scoring.Settings(groups=4, chunk_words=300)
+    values = lm_scoring.fit(docs, settings)
+    weights = lm_scoring.unflat(values, settings)
+    others = [(20, "word nonce"), (21, "word word"), (22, None), (None, "alpha1 word")]
+    chunks = lm_scoring.chunked(docs, values, settings)
+    vocabulary = lm_scoring.vocabulary(chunks)
+    counts, totals = Counter(), Counter()
+    for _, text in TEXTS:
+        found = lm_scoring.word_hashes(text)
+        counts.update(found.tolist())
+        totals.update(lm_scoring.classes_of(found, settings).tolist())
+    assert vocabulary.count() == len(counts) > settings.groups**2 and vocabulary.agg(F.sum("n")).first()[0] == sum(counts.values())
+    more = lm_scoring.chunked(frame(spark, others), values, settings)
+    for part, texts in ((chunks, TEXTS), (more, others)):
+        rows = {r.doc_id: r for r in lm_scoring.score_words(part, vocabulary, settings).collect()}
+        assert len(rows) == len(texts)
+        for i, text in texts:
+            found = lm_scoring.word_hashes(text)
+            shares = [log(max(counts[h], 1) / (totals[c] + 1)) for h, c in zip(found.tolist(), lm_scoring.classes_of(found, settings).tolist())]
+            expected = float(lm_scoring.log_probabilities(text, weights, settings).sum()) + sum(shares)
+            assert rows[i].n_words == len(found) and rows[i].score == pytest.approx(expected, rel=1e-4)
+    assert lm_scoring.score_words(lm_scoring.chunked(docs.where("false"), values), vocabulary).count() == 0
+
+
 PAGES = [
     (1, "u", None),
     (2, None, ""),
