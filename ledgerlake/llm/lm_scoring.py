@@ -49,7 +49,7 @@ class Settings:
     inputs: int = 4096
     width: int = 16
     rounds: int = 2
-    masked: int = 8
+    masked: int = 2
     rate: float = 0.15
     batch: int = 2048
     send_after: int = 1_000_000

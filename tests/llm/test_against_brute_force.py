@@ -171,3 +171,26 @@ def test_lm_scores_learn(spark):
     there = L.log_probabilities(" ".join(words), weights, s).mean()
     random.Random(1).shuffle(words)
     assert there > L.log_probabilities(" ".join(words), weights, s).mean()
+
+
+def test_registered_lm_settings_learn(spark):
+    """With the parameters of the query, words are predicted better than by their frequencies, and shuffled ones worse."""
+    import random
+    from collections import Counter
+    from math import log
+
+    from ledgerlake.llm import lm_scoring as L
+
+    folder = FOLDER.replace("0.001", "0.01")
+    docs = spark.read.parquet(folder + "/documents.parquet")
+    texts = [r.text for r in docs.collect()]
+    counts = Counter(h for t in texts for h in L.word_hashes(t).tolist())
+    total = sum(counts.values())
+    rows = queries.QUERIES["op3_lm_scoring"](spark, folder).collect()
+    assert len(rows) == len(texts) and sum(r.n_words for r in rows) == total
+    assert sum(r.score for r in rows) / total > sum(n * log(n / total) for n in counts.values()) / total
+    weights = L.unflat(L.fit(docs), L.Settings())
+    words = [w for t in texts[:100] for w in t.split()]
+    there = L.log_probabilities(" ".join(words), weights, L.Settings()).mean()
+    random.Random(1).shuffle(words)
+    assert there > L.log_probabilities(" ".join(words), weights, L.Settings()).mean()

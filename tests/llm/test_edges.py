@@ -328,6 +328,13 @@ def test_lm_scores_tell_words_of_a_class_apart(spark, docs):
     assert lm_scoring.score_words(lm_scoring.chunked(docs.where("false"), values), vocabulary).count() == 0
 
 
+def test_every_word_is_a_target_once():
+    settings = lm_scoring.Settings()
+    for n in range(40):
+        seen = [k for turn in range(settings.rounds) for k in range(n)[lm_scoring.targets(n, turn, settings)]]
+        assert sorted(seen) == list(range(n))
+
+
 PAGES = [
     (1, "u", None),
     (2, None, ""),
