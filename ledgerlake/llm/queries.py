@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     decontaminate,
@@ -18,6 +19,7 @@ from ledgerlake.llm import (
     quality,
     sharding,
     suffix_dedup,
+    whitening,
 )
 
 #: Folder of the vocabulary files of public tokenizers; None asks the installed package.
@@ -109,6 +111,12 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+@query
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op8_near_dedup"] = rf"""
