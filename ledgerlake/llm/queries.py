@@ -12,6 +12,7 @@ from ledgerlake.llm import (
     divergence,
     exact_dedup,
     html_text,
+    jaccard_join,
     language_id,
     lm_scoring,
     near_dedup,
@@ -117,21 +118,31 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
 
 
+@query
+def op13_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, folder, "documents"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-ORACLE["op8_near_dedup"] = rf"""
+def _classes_sql(size: int, columns: str) -> str:
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle
-      FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {size - 1}), ' ') AS shingle
+      FROM w, unnest(range(1, greatest(len(w) - {size - 1}, 1) + 1)) AS t(i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
 l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
 r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.reached = l.x),
 c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
-SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept
+SELECT {columns}
 FROM c LEFT JOIN n USING (doc_id)
 """
 
+
+ORACLE["op8_near_dedup"] = _classes_sql(5, "c.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept")
+ORACLE["op13_jaccard_join"] = _classes_sql(4, "c.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id")
+
 ORACLE["op9_decontamination"] = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
