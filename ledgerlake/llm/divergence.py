@@ -2,8 +2,9 @@
 
 1. A `CountVectorizer` with a minimal document frequency and the largest vocabulary size makes an exact sparse vector
    of every document. A term carries its language in front, so one fit keeps a vocabulary for each language, however
-   many languages there are. The vocabulary of one fit is held by the driver and sent to the tasks. Therefore the kept
-   terms are counted first, and more than `block_terms` of them are fitted and applied in blocks of that size.
+   many languages there are. The vocabulary of one fit is held by the driver and sent to the tasks. Where it may have
+   more than `block_terms` terms, the kept ones are counted, and terms are fitted and applied in blocks of about that
+   many.
 2. The vectors are summed by source over their entries, not as dense rows, so no sum is as wide as the vocabulary.
 3. Two sources are compared over the terms that both have. Terms that one or none of them has come from the histogram
    of counts and from the size of the vocabulary.
@@ -15,17 +16,22 @@ source has no pairs. Repeated rows count each. An empty table gives an empty res
 
 from __future__ import annotations
 
-import string
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import words as W
 from ledgerlake.llm.scratch import Scratch
 from ledgerlake.session import fresh_path
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of a term: ASCII letters and all bytes of other characters.
+_IS_LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
 COUNTS = "lang string, source string, term string, count long"
 
 
@@ -41,20 +47,56 @@ class Settings:
 
 
 def tokens(documents: DataFrame) -> DataFrame:
-    """lang, source and terms of every document, each term behind its language and a blank (no term has a blank)."""
-    lang, source, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text"))
-    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    found = F.regexp_extract_all(lower, F.lit(TERM), F.lit(0))
-    return documents.select(
-        lang.alias("lang"), source.alias("source"), F.transform(found, lambda t: F.concat(lang, F.lit(" "), t)).alias("terms")
-    )
+    """lang, source, terms and distinct terms of every document, each behind its language and a blank.
+
+    No term has a blank, so language and term can be told apart. Terms are cut from the bytes of a few documents at a
+    time, as Arrow arrays.
+    """
+
+    def packed(held: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
+        codes = np.frombuffer(b" ".join(data for _, _, data in held) + b" ", np.uint8)
+        ends = np.cumsum([len(data) + 1 for _, _, data in held])
+        starts, stops = W.spans(_IS_LETTER[codes])
+        offsets = np.concatenate(([0], np.cumsum(stops - starts))).astype(np.int32)
+        letters = codes[_IS_LETTER[codes]]
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters))
+        bounds = np.concatenate(([0], np.searchsorted(starts, ends))).astype(np.int32)
+        owner = np.repeat(np.arange(len(held)), np.diff(bounds))
+        words = pc.binary_join_element_wise(pa.array([x[0] for x in held]).take(pa.array(owner)), words, " ")
+        single = [words.slice(a, b - a).unique() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        widths = np.concatenate(([0], np.cumsum([len(x) for x in single]))).astype(np.int32)
+        columns = [
+            pa.array([x[0] for x in held]),
+            pa.array([x[1] for x in held]),
+            pa.ListArray.from_arrays(pa.array(bounds), words),
+            pa.ListArray.from_arrays(pa.array(widths), pa.concat_arrays(single)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "terms", "single"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for lang, source, text in W.rows(batches, "lang", "source", "text"):
+            held.append((lang, source, text.encode(errors="replace").translate(W.LOWER)))
+            size += len(held[-1][2])
+            if size >= W.BLOCK or len(held) >= 512:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    plain = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text"))
+    kinds = "lang string, source string, terms array<string>, single array<string>"
+    return documents.select(*plain).mapInArrow(run, kinds)
 
 
 def block_counts(held: DataFrame, settings: Settings) -> DataFrame:
     """Counts by source of the kept terms of one vocabulary (columns source, term, count)."""
+    # the vocabulary depends on documents, not on repeats in one; a fit that keeps no term at all would fail
+    seen = held.select(F.col("single").alias("terms"))
+    never = held.sparkSession.range(settings.min_docs).select(F.array(F.lit(" ")))
     fitted = CountVectorizer(
         inputCol="terms", outputCol="vector", minDF=settings.min_docs, minTF=1, vocabSize=2**31 - 1
-    ).fit(held)
+    ).fit(seen.union(never))
     path = fresh_path(held.sparkSession, "vocabulary")
     fitted.save(path)  # read back as a table, so that the terms are not sent one by one from the driver
     vocabulary = held.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
@@ -69,17 +111,18 @@ def block_counts(held: DataFrame, settings: Settings) -> DataFrame:
 def term_counts(held: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
     """How often each source has each kept term that it has."""
     spark = held.sparkSession
-    each = held.select(F.explode(F.array_distinct("terms")).alias("term"))
-    kept = each.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= settings.min_docs).count()
+    # terms of at least min_docs documents are at most this many; count them only where that does not fit a block
+    kept = (held.agg(F.sum(F.size("single"))).first()[0] or 0) // settings.min_docs
+    if kept > settings.block_terms:
+        each = held.select(F.explode("single").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        kept = each.where(F.col("n") >= settings.min_docs).count()
     blocks = -(-kept // settings.block_terms)
     counts = spark.createDataFrame([], COUNTS)
     for block in range(blocks):
         part = held
         if blocks > 1:
-            mine = F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == block)
-            part = held.withColumn("terms", mine)
-            if part.where(F.size("terms") > 0).isEmpty():
-                continue
+            for column in ("terms", "single"):
+                part = part.withColumn(column, F.filter(column, lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == block))
         found = block_counts(part, settings)
         lang = F.regexp_extract("term", r"(?s)^(.*) [^ ]+$", 1)
         found = found.select(lang.alias("lang"), "source", F.substring_index("term", " ", -1).alias("term"), "count")

@@ -2,9 +2,11 @@
 
 A page is read once as a stream of tags and text, without a tree of elements. Block-level tags end a block; inline
 tags do not. Each block has its number of words, the share of its words inside links, the same two numbers of the
-blocks before and behind, and its place: inside a container of boilerplate, outside the page's article, on a page
+blocks before and behind, whether it is a paragraph or heading, whether a name around it has a word of boilerplate
+among others (`share-price`), and its place: inside a container of boilerplate, outside the page's article, on a page
 without an article, or inside the article. A small decision tree, grown on the labelled table below, keeps or
-drops it.
+drops it. A container of boilerplate is one by its tag or by a whole name (`comments`, `ad-banner`), never by a part of
+a name. The header of an article is part of it; an article named as a teaser or comment is none.
 
 Defined results: null html is empty; a page without a kept block has the empty text. White space of any kind inside
 a block becomes one space. Unclosed comments, scripts and styles reach to the end of the page. Elements that are not
@@ -16,6 +18,7 @@ from __future__ import annotations
 import functools
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +43,7 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset".split())
 _ARTICLE = frozenset(("article", "main"))
-_HINT = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_HINT = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 _WORDS_OF_BOILERPLATE = frozenset(
     "ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
@@ -48,7 +51,18 @@ _WORDS_OF_BOILERPLATE = frozenset(
     "menu modal nav navbar navigation newsletter notice overlay pager pagination paywall popup promo related "
     "respond reply replies share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that leave a name as much boilerplate as it is without them.
+_NEUTRAL = frozenset(
+    "area article articles bar block body bottom box button buttons col column container content foot form group head "
+    "icon icons inner item items js left link links list main middle module outer page panel post posts right row section "
+    "site slot small story stories text thread title top unit wrap wrapper".split()
+)
 _AROUND = frozenset("has with no without is".split())
+#: Names by which an article is no article of the page.
+_OTHER_ARTICLE = frozenset(
+    "ad ads advert advertisement comment comments preview promo recommended related replies reply sponsored teaser teasers".split()
+)
+_PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd dt td th".split())
 _SPLIT = re.compile(r"[a-z]+")
 
 
@@ -57,6 +71,8 @@ class Block:
     text: str
     words: int
     link_density: float
+    paragraph: bool
+    hinted: bool
     place: int
 
 
@@ -64,28 +80,44 @@ class Block:
 BOILERPLATE, OUTSIDE, UNKNOWN, INSIDE = range(4)
 
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in _BOILERPLATE:
-        return True
-    if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+#: How much a container's names say of boilerplate: nothing, a word among others, the whole name.
+PLAIN, HINTED, NAMED = range(3)
+
+
+def _names(attributes: str) -> Iterator[list[str]]:
+    """The words of each class, id and role, and of the label as a whole."""
+    for attribute, *values in _HINT.findall(attributes):
+        value = "".join(values).lower()
+        for name in [value] if attribute.lower() == "aria-label" else value.split():
+            yield _SPLIT.findall(name)
+
+
+@functools.lru_cache(4096)
+def _kind(tag: str, attributes: str, in_article: bool) -> int:
+    if tag in _BOILERPLATE and not (tag == "header" and in_article):
+        return NAMED
+    if not attributes or tag in ("body", "html"):
+        return PLAIN
     if _HIDDEN.search(attributes):
-        return True
-    for found in _HINT.findall(attributes):
-        for name in "".join(found).lower().split():
-            parts = _SPLIT.findall(name)
-            # "has-sidebar" and the like are said of what is around the sidebar
-            if parts and parts[0] not in _AROUND and not _WORDS_OF_BOILERPLATE.isdisjoint(parts):
-                return True
-    return False
+        return NAMED
+    kind, wanted = PLAIN, _OTHER_ARTICLE if tag in _ARTICLE else _WORDS_OF_BOILERPLATE
+    for words in _names(attributes):
+        # "has-sidebar" and the like are said of what is around the sidebar
+        if words and words[0] not in _AROUND and not wanted.isdisjoint(words):
+            if all(w in wanted or w in _NEUTRAL for w in words):
+                return NAMED
+            kind = HINTED
+    return kind
 
 
 def blocks(html: str | None) -> list[Block]:
     """Text blocks of a page in their order."""
     page = html or ""
-    found: list[tuple[str, int, int, bool, bool]] = []  # text, words, words in links, boilerplate, in article
-    open_tags: list[tuple[str, bool, bool]] = []  # block-level elements around: tag, boilerplate, article
-    bad = good = link = 0
+    found: list[tuple] = []  # text, words, words in links, paragraph, hinted, boilerplate, in article
+    open_tags: list[tuple[str, int, bool]] = []  # block-level elements around: tag, kind, article
+    open_names: Counter[str] = Counter()
+    bad = hinted = good = link = 0
+    paragraph = False
     text: list[str] = []
     linked: list[str] = []
     any_article = False
@@ -95,7 +127,7 @@ def blocks(html: str | None) -> list[Block]:
             joined = " ".join(entities.unescape("".join(text)).split())
             if joined:
                 in_links = len(entities.unescape(" ".join(linked)).split())
-                found.append((joined, joined.count(" ") + 1, in_links, bad > 0, good > 0))
+                found.append((joined, joined.count(" ") + 1, in_links, paragraph, hinted > 0, bad > 0, good > 0))
             text.clear()
             linked.clear()
 
@@ -125,143 +157,211 @@ def blocks(html: str | None) -> list[Block]:
         if tag in _VOID:
             continue
         if not token["close"]:
+            paragraph = tag in _PARAGRAPH
             if tag == "p":  # paragraphs hold no blocks, so they are never around one
                 continue
-            worse = _is_boilerplate(tag, token["attributes"])
-            article = tag in _ARTICLE
+            kind = _kind(tag, token["attributes"], good > 0)
+            article = tag in _ARTICLE and kind != NAMED
             any_article |= article
-            open_tags.append((tag, worse, article))
-            bad += worse
+            open_tags.append((tag, kind, article))
+            open_names[tag] += 1
+            bad += kind == NAMED
+            hinted += kind == HINTED
             good += article
-        elif any(x[0] == tag for x in open_tags):
+            continue
+        paragraph = False
+        if open_names[tag]:
             link = 0
-            while open_tags:
-                name, worse, article = open_tags.pop()
-                bad -= worse
+            name = ""
+            while name != tag:
+                name, kind, article = open_tags.pop()
+                open_names[name] -= 1
+                bad -= kind == NAMED
+                hinted -= kind == HINTED
                 good -= article
-                if name == tag:
-                    break
     add(page[at:])
     end_block()
     out = []
-    for joined, words, in_links, worse, article in found:
+    for joined, words, in_links, is_paragraph, is_hinted, worse, article in found:
         place = BOILERPLATE if worse else INSIDE if article else OUTSIDE if any_article else UNKNOWN
-        out.append(Block(joined, words, min(1.0, in_links / words), place))
+        out.append(Block(joined, words, min(1.0, in_links / words), is_paragraph, is_hinted, place))
     return out
 
 
 def features(found: list[Block]) -> np.ndarray:
-    """Rows: words and link density of the block, of the one before and of the one behind, then its place."""
+    """Rows: words and link density of the block, of the one before and of the one behind, then what is around it."""
     own = np.array([(b.words, b.link_density) for b in found]).reshape(-1, 2)
     edge = np.zeros((1, 2))
     before, behind = np.concatenate((edge, own[:-1])), np.concatenate((own[1:], edge))
-    return np.column_stack((own, before, behind, [b.place for b in found]))
+    return np.column_stack((own, before, behind, [(b.paragraph, b.hinted, b.place) for b in found]))
 
 
-# Labelled by hand: words, link density, words and link density before, words and link density behind, place, main text.
+# Labelled by hand: words, link density, words and link density before, words and link density behind, paragraph, word of
+# boilerplate in a name around, place, main text.
 LABELLED = (
     # inside an article: prose, short lines between prose, headings, one-word paragraphs, last lines
-    (80, 0.00, 60, 0.00, 70, 0.00, INSIDE, 1),
-    (45, 0.05, 8, 0.00, 90, 0.02, INSIDE, 1),
-    (7, 0.00, 0, 0.00, 60, 0.00, INSIDE, 1),
-    (1, 0.00, 50, 0.00, 40, 0.00, INSIDE, 1),
-    (1, 0.00, 1, 0.00, 2, 0.00, INSIDE, 1),
-    (3, 0.00, 12, 1.00, 9, 0.50, INSIDE, 1),
-    (12, 0.10, 90, 0.00, 8, 0.30, INSIDE, 1),
-    (150, 0.20, 10, 0.00, 1, 0.00, INSIDE, 1),
-    (30, 0.35, 40, 0.10, 35, 0.00, INSIDE, 1),
-    (2, 0.00, 0, 0.00, 0, 0.00, INSIDE, 1),
-    (20, 0.45, 25, 0.05, 60, 0.00, INSIDE, 1),
-    (6, 0.50, 80, 0.00, 75, 0.00, INSIDE, 1),
-    (5, 0.00, 2, 0.00, 3, 0.00, INSIDE, 1),
-    (10, 0.00, 100, 0.00, 0, 0.00, INSIDE, 1),
-    (1, 0.00, 8, 0.00, 0, 0.00, INSIDE, 1),
-    (13, 0.00, 1, 0.00, 14, 0.00, INSIDE, 1),
-    (55, 0.00, 3, 0.00, 0, 0.00, INSIDE, 1),
-    (8, 0.20, 12, 0.00, 10, 0.10, INSIDE, 1),
-    (22, 0.00, 1, 0.00, 6, 1.00, INSIDE, 1),
-    (4, 0.60, 15, 0.00, 12, 0.00, INSIDE, 1),
-    (3, 0.00, 50, 0.00, 4, 1.00, INSIDE, 1),
-    (10, 0.00, 80, 0.00, 6, 0.80, INSIDE, 1),
-    (1, 0.00, 20, 0.00, 2, 1.00, INSIDE, 1),
-    (6, 0.00, 90, 0.00, 30, 0.60, INSIDE, 1),
-    (5, 0.20, 1, 1.00, 9, 1.00, INSIDE, 1),
-    (18, 0.00, 4, 1.00, 4, 1.00, INSIDE, 1),
-    (70, 0.10, 6, 0.50, 12, 0.90, INSIDE, 1),
+    (80, 0.00, 60, 0.00, 70, 0.00, 1, 0, INSIDE, 1),
+    (45, 0.05, 8, 0.00, 90, 0.02, 1, 0, INSIDE, 1),
+    (7, 0.00, 0, 0.00, 60, 0.00, 1, 0, INSIDE, 1),
+    (1, 0.00, 50, 0.00, 40, 0.00, 0, 0, INSIDE, 1),
+    (1, 0.00, 1, 0.00, 2, 0.00, 1, 0, INSIDE, 1),
+    (3, 0.00, 12, 1.00, 9, 0.50, 1, 0, INSIDE, 1),
+    (12, 0.10, 90, 0.00, 8, 0.30, 1, 0, INSIDE, 1),
+    (150, 0.20, 10, 0.00, 1, 0.00, 0, 0, INSIDE, 1),
+    (30, 0.35, 40, 0.10, 35, 0.00, 1, 0, INSIDE, 1),
+    (2, 0.00, 0, 0.00, 0, 0.00, 1, 0, INSIDE, 1),
+    (20, 0.45, 25, 0.05, 60, 0.00, 1, 0, INSIDE, 1),
+    (6, 0.50, 80, 0.00, 75, 0.00, 0, 0, INSIDE, 1),
+    (5, 0.00, 2, 0.00, 3, 0.00, 1, 0, INSIDE, 1),
+    (10, 0.00, 100, 0.00, 0, 0.00, 1, 0, INSIDE, 1),
+    (1, 0.00, 8, 0.00, 0, 0.00, 1, 0, INSIDE, 1),
+    (13, 0.00, 1, 0.00, 14, 0.00, 0, 0, INSIDE, 1),
+    (55, 0.00, 3, 0.00, 0, 0.00, 1, 0, INSIDE, 1),
+    (8, 0.20, 12, 0.00, 10, 0.10, 1, 0, INSIDE, 1),
+    (22, 0.00, 1, 0.00, 6, 1.00, 1, 0, INSIDE, 1),
+    (4, 0.60, 15, 0.00, 12, 0.00, 0, 0, INSIDE, 1),
+    (3, 0.00, 50, 0.00, 4, 1.00, 1, 0, INSIDE, 1),
+    (10, 0.00, 80, 0.00, 6, 0.80, 1, 0, INSIDE, 1),
+    (1, 0.00, 20, 0.00, 2, 1.00, 1, 0, INSIDE, 1),
+    (6, 0.00, 90, 0.00, 30, 0.60, 0, 0, INSIDE, 1),
+    (5, 0.20, 1, 1.00, 9, 1.00, 1, 0, INSIDE, 1),
+    (18, 0.00, 4, 1.00, 4, 1.00, 1, 0, INSIDE, 1),
+    (70, 0.10, 6, 0.50, 12, 0.90, 1, 0, INSIDE, 1),
     # inside an article: rows of links
-    (4, 1.00, 3, 1.00, 5, 1.00, INSIDE, 0),
-    (6, 1.00, 70, 0.00, 6, 1.00, INSIDE, 0),
-    (5, 1.00, 6, 1.00, 8, 0.50, INSIDE, 0),
-    (9, 1.00, 9, 1.00, 0, 0.00, INSIDE, 0),
-    (2, 1.00, 60, 0.00, 2, 1.00, INSIDE, 0),
+    (4, 1.00, 3, 1.00, 5, 1.00, 0, 0, INSIDE, 0),
+    (6, 1.00, 70, 0.00, 6, 1.00, 0, 0, INSIDE, 0),
+    (5, 1.00, 6, 1.00, 8, 0.50, 0, 0, INSIDE, 0),
+    (9, 1.00, 9, 1.00, 0, 0.00, 0, 0, INSIDE, 0),
+    (2, 1.00, 60, 0.00, 2, 1.00, 0, 0, INSIDE, 0),
+    # inside an article: single links, paragraphs that are one link
+    (8, 1.00, 60, 0.00, 70, 0.00, 1, 0, INSIDE, 1),
+    (40, 1.00, 50, 0.00, 45, 0.00, 1, 0, INSIDE, 1),
+    (20, 1.00, 0, 0.00, 30, 0.00, 1, 0, INSIDE, 1),
+    (5, 1.00, 6, 1.00, 7, 1.00, 1, 0, INSIDE, 1),
+    (12, 1.00, 80, 0.00, 9, 1.00, 1, 0, INSIDE, 1),
+    (3, 1.00, 2, 1.00, 90, 0.00, 1, 0, INSIDE, 1),
+    (40, 1.00, 0, 0.00, 0, 0.00, 1, 0, INSIDE, 1),
+    (15, 1.00, 15, 1.00, 0, 0.00, 1, 0, INSIDE, 1),
+    (3, 0.80, 20, 0.60, 0, 0.00, 1, 0, INSIDE, 1),
+    (6, 1.00, 70, 0.00, 60, 0.00, 0, 0, INSIDE, 1),
+    (15, 1.00, 30, 0.00, 25, 0.05, 0, 0, INSIDE, 1),
+    # inside an article: text outside paragraphs is as good as in them
+    (1, 0.00, 0, 0.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (1, 0.00, 50, 0.00, 50, 0.00, 0, 0, INSIDE, 1),
+    (2, 0.50, 50, 0.00, 50, 0.00, 0, 0, INSIDE, 1),
+    (3, 0.00, 0, 0.00, 0, 0.00, 0, 1, INSIDE, 1),
+    (4, 0.00, 5, 1.00, 5, 1.00, 0, 0, INSIDE, 1),
+    (5, 0.00, 0, 0.00, 40, 0.00, 0, 1, INSIDE, 1),
+    (6, 0.30, 3, 0.00, 4, 0.00, 0, 0, INSIDE, 1),
+    (7, 0.50, 6, 1.00, 7, 1.00, 0, 0, INSIDE, 1),
+    (8, 0.00, 4, 1.00, 90, 0.00, 0, 1, INSIDE, 1),
+    (10, 0.00, 0, 0.00, 6, 0.00, 0, 0, INSIDE, 1),
+    (12, 0.60, 8, 0.90, 9, 0.80, 0, 0, INSIDE, 1),
+    (14, 0.00, 90, 0.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (18, 0.00, 18, 0.00, 18, 0.00, 0, 1, INSIDE, 1),
+    (20, 0.10, 2, 0.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (30, 0.00, 3, 1.00, 3, 1.00, 0, 0, INSIDE, 1),
+    (45, 0.50, 6, 1.00, 6, 1.00, 0, 0, INSIDE, 1),
+    (60, 0.00, 0, 0.00, 1, 0.00, 0, 0, INSIDE, 1),
+    (3, 1.00, 0, 0.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (5, 1.00, 40, 0.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (40, 1.00, 50, 0.00, 50, 0.00, 0, 0, INSIDE, 1),
+    (1, 1.00, 50, 0.00, 50, 0.00, 0, 0, INSIDE, 1),
+    (1, 0.00, 70, 0.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (1, 0.00, 120, 0.00, 9, 0.00, 0, 1, INSIDE, 1),
+    (2, 0.00, 90, 0.00, 30, 0.00, 0, 0, INSIDE, 1),
+    (2, 0.40, 60, 0.10, 2, 0.00, 1, 0, INSIDE, 1),
+    (9, 0.00, 9, 1.00, 0, 0.00, 0, 0, INSIDE, 1),
+    (9, 0.00, 30, 0.00, 12, 0.00, 0, 0, INSIDE, 1),
+    (9, 0.30, 8, 0.80, 2, 0.40, 0, 0, INSIDE, 1),
+    (6, 0.00, 7, 1.00, 6, 0.00, 0, 0, INSIDE, 1),
+    (3, 0.50, 3, 1.00, 4, 0.30, 0, 0, INSIDE, 1),
+    (25, 0.00, 5, 1.00, 30, 0.00, 1, 0, INSIDE, 1),
+    (4, 0.50, 9, 1.00, 80, 0.00, 1, 1, INSIDE, 1),
+    (2, 0.00, 6, 1.00, 3, 0.00, 0, 1, INSIDE, 1),
+    # inside an article, a name around has a word of boilerplate among others
+    (40, 0.00, 0, 0.00, 40, 0.00, 1, 1, INSIDE, 1),
+    (45, 0.00, 40, 0.00, 0, 0.00, 1, 1, INSIDE, 1),
+    (3, 0.00, 60, 0.00, 50, 0.00, 1, 1, INSIDE, 1),
+    (2, 0.00, 9, 0.00, 4, 0.00, 0, 1, INSIDE, 1),
+    (70, 0.10, 60, 0.00, 80, 0.00, 0, 1, INSIDE, 1),
+    (25, 0.20, 3, 0.00, 30, 0.40, 1, 1, INSIDE, 1),
+    (9, 1.00, 40, 0.00, 30, 0.00, 1, 1, INSIDE, 1),
+    (3, 1.00, 3, 1.00, 4, 1.00, 0, 1, INSIDE, 0),
     # containers of boilerplate, whatever they hold
-    (1, 1.00, 1, 1.00, 1, 1.00, BOILERPLATE, 0),
-    (8, 0.00, 1, 1.00, 10, 0.00, BOILERPLATE, 0),
-    (60, 0.00, 50, 0.00, 55, 0.00, BOILERPLATE, 0),
-    (12, 0.00, 70, 0.00, 0, 0.00, BOILERPLATE, 0),
-    (120, 0.00, 4, 0.00, 90, 0.00, BOILERPLATE, 0),
-    (25, 0.30, 80, 0.00, 6, 0.80, BOILERPLATE, 0),
-    (3, 0.00, 0, 0.00, 3, 1.00, BOILERPLATE, 0),
-    (40, 0.10, 1, 0.00, 12, 0.00, BOILERPLATE, 0),
-    (200, 0.00, 150, 0.00, 5, 0.00, BOILERPLATE, 0),
-    (90, 0.00, 3, 1.00, 0, 0.00, BOILERPLATE, 0),
-    (70, 0.10, 60, 0.00, 10, 0.00, BOILERPLATE, 0),
-    (16, 0.00, 8, 0.00, 14, 0.00, BOILERPLATE, 0),
-    (5, 0.00, 40, 0.00, 45, 0.00, BOILERPLATE, 0),
-    (1, 0.00, 30, 0.00, 60, 0.00, BOILERPLATE, 0),
-    (100, 0.40, 90, 0.30, 80, 0.20, BOILERPLATE, 0),
-    (33, 0.00, 33, 0.00, 2, 0.00, BOILERPLATE, 0),
-    (14, 0.00, 5, 0.00, 120, 0.00, BOILERPLATE, 0),
-    (11, 0.00, 0, 0.00, 6, 0.00, BOILERPLATE, 0),
+    (1, 1.00, 1, 1.00, 1, 1.00, 1, 0, BOILERPLATE, 0),
+    (8, 0.00, 1, 1.00, 10, 0.00, 0, 0, BOILERPLATE, 0),
+    (60, 0.00, 50, 0.00, 55, 0.00, 1, 1, BOILERPLATE, 0),
+    (12, 0.00, 70, 0.00, 0, 0.00, 0, 0, BOILERPLATE, 0),
+    (120, 0.00, 4, 0.00, 90, 0.00, 1, 0, BOILERPLATE, 0),
+    (25, 0.30, 80, 0.00, 6, 0.80, 0, 0, BOILERPLATE, 0),
+    (3, 0.00, 0, 0.00, 3, 1.00, 1, 0, BOILERPLATE, 0),
+    (40, 0.10, 1, 0.00, 12, 0.00, 0, 1, BOILERPLATE, 0),
+    (200, 0.00, 150, 0.00, 5, 0.00, 1, 0, BOILERPLATE, 0),
+    (90, 0.00, 3, 1.00, 0, 0.00, 0, 0, BOILERPLATE, 0),
+    (70, 0.10, 60, 0.00, 10, 0.00, 1, 0, BOILERPLATE, 0),
+    (16, 0.00, 8, 0.00, 14, 0.00, 0, 0, BOILERPLATE, 0),
+    (5, 0.00, 40, 0.00, 45, 0.00, 1, 1, BOILERPLATE, 0),
+    (1, 0.00, 30, 0.00, 60, 0.00, 0, 0, BOILERPLATE, 0),
+    (100, 0.40, 90, 0.30, 80, 0.20, 1, 0, BOILERPLATE, 0),
+    (33, 0.00, 33, 0.00, 2, 0.00, 0, 0, BOILERPLATE, 0),
+    (14, 0.00, 5, 0.00, 120, 0.00, 1, 0, BOILERPLATE, 0),
+    (11, 0.00, 0, 0.00, 6, 0.00, 0, 1, BOILERPLATE, 0),
     # outside the article of a page that has one
-    (180, 0.00, 120, 0.00, 3, 0.00, OUTSIDE, 0),
-    (75, 0.05, 2, 0.00, 0, 0.00, OUTSIDE, 0),
-    (95, 0.00, 60, 0.00, 12, 0.00, OUTSIDE, 0),
-    (1, 0.00, 45, 0.00, 50, 0.00, OUTSIDE, 0),
-    (6, 0.00, 30, 0.00, 90, 0.00, OUTSIDE, 0),
-    (18, 0.00, 12, 0.00, 9, 0.00, OUTSIDE, 0),
-    (28, 0.00, 70, 0.00, 14, 0.00, OUTSIDE, 0),
-    (9, 0.00, 1, 1.00, 11, 0.00, OUTSIDE, 0),
-    (70, 0.00, 80, 0.00, 60, 0.00, OUTSIDE, 0),
-    (4, 1.00, 4, 1.00, 9, 0.00, OUTSIDE, 0),
-    (15, 0.20, 120, 0.00, 0, 0.00, OUTSIDE, 0),
-    (35, 0.00, 6, 0.00, 40, 0.00, OUTSIDE, 0),
+    (180, 0.00, 120, 0.00, 3, 0.00, 1, 0, OUTSIDE, 0),
+    (75, 0.05, 2, 0.00, 0, 0.00, 0, 0, OUTSIDE, 0),
+    (95, 0.00, 60, 0.00, 12, 0.00, 1, 0, OUTSIDE, 0),
+    (1, 0.00, 45, 0.00, 50, 0.00, 0, 0, OUTSIDE, 0),
+    (6, 0.00, 30, 0.00, 90, 0.00, 1, 1, OUTSIDE, 0),
+    (18, 0.00, 12, 0.00, 9, 0.00, 0, 0, OUTSIDE, 0),
+    (28, 0.00, 70, 0.00, 14, 0.00, 1, 0, OUTSIDE, 0),
+    (9, 0.00, 1, 1.00, 11, 0.00, 0, 0, OUTSIDE, 0),
+    (70, 0.00, 80, 0.00, 60, 0.00, 1, 0, OUTSIDE, 0),
+    (4, 1.00, 4, 1.00, 9, 0.00, 0, 1, OUTSIDE, 0),
+    (15, 0.20, 120, 0.00, 0, 0.00, 1, 0, OUTSIDE, 0),
+    (35, 0.00, 6, 0.00, 40, 0.00, 0, 0, OUTSIDE, 0),
     # pages without an article: prose and what stands between prose
-    (70, 0.00, 60, 0.00, 65, 0.00, UNKNOWN, 1),
-    (40, 0.08, 5, 0.00, 50, 0.00, UNKNOWN, 1),
-    (25, 0.15, 70, 0.00, 40, 0.10, UNKNOWN, 1),
-    (16, 0.00, 20, 0.00, 18, 0.00, UNKNOWN, 1),
-    (14, 0.00, 40, 0.00, 4, 0.00, UNKNOWN, 1),
-    (8, 0.00, 45, 0.00, 60, 0.00, UNKNOWN, 1),
-    (6, 0.00, 2, 1.00, 70, 0.00, UNKNOWN, 1),
-    (3, 0.00, 50, 0.00, 30, 0.00, UNKNOWN, 1),
-    (1, 0.00, 35, 0.00, 40, 0.00, UNKNOWN, 1),
-    (90, 0.25, 3, 0.00, 5, 1.00, UNKNOWN, 1),
-    (30, 0.05, 0, 0.00, 0, 0.00, UNKNOWN, 1),
-    (18, 0.00, 0, 0.00, 25, 0.00, UNKNOWN, 1),
-    (12, 0.00, 30, 0.05, 28, 0.00, UNKNOWN, 1),
-    (40, 0.00, 2, 0.00, 1, 0.00, UNKNOWN, 1),
-    (25, 0.00, 30, 0.00, 3, 0.00, UNKNOWN, 1),
-    (60, 0.00, 50, 0.00, 0, 0.00, UNKNOWN, 1),
-    (80, 0.00, 4, 1.00, 6, 1.00, UNKNOWN, 1),
-    (35, 0.10, 9, 0.00, 2, 0.00, UNKNOWN, 1),
-    (22, 0.00, 1, 1.00, 5, 1.00, UNKNOWN, 1),
-    (17, 0.05, 3, 1.00, 4, 0.00, UNKNOWN, 1),
+    (70, 0.00, 60, 0.00, 65, 0.00, 0, 0, UNKNOWN, 1),
+    (40, 0.08, 5, 0.00, 50, 0.00, 1, 0, UNKNOWN, 1),
+    (25, 0.15, 70, 0.00, 40, 0.10, 1, 1, UNKNOWN, 1),
+    (16, 0.00, 20, 0.00, 18, 0.00, 0, 0, UNKNOWN, 1),
+    (14, 0.00, 40, 0.00, 4, 0.00, 1, 0, UNKNOWN, 1),
+    (8, 0.00, 45, 0.00, 60, 0.00, 1, 0, UNKNOWN, 1),
+    (6, 0.00, 2, 1.00, 70, 0.00, 0, 0, UNKNOWN, 1),
+    (3, 0.00, 50, 0.00, 30, 0.00, 1, 1, UNKNOWN, 1),
+    (1, 0.00, 35, 0.00, 40, 0.00, 1, 0, UNKNOWN, 1),
+    (90, 0.25, 3, 0.00, 5, 1.00, 0, 0, UNKNOWN, 1),
+    (30, 0.05, 0, 0.00, 0, 0.00, 1, 0, UNKNOWN, 1),
+    (18, 0.00, 0, 0.00, 25, 0.00, 1, 0, UNKNOWN, 1),
+    (12, 0.00, 30, 0.05, 28, 0.00, 0, 1, UNKNOWN, 1),
+    (40, 0.00, 2, 0.00, 1, 0.00, 1, 0, UNKNOWN, 1),
+    (25, 0.00, 30, 0.00, 3, 0.00, 1, 0, UNKNOWN, 1),
+    (60, 0.00, 50, 0.00, 0, 0.00, 0, 0, UNKNOWN, 1),
+    (80, 0.00, 4, 1.00, 6, 1.00, 1, 0, UNKNOWN, 1),
+    (35, 0.10, 9, 0.00, 2, 0.00, 1, 1, UNKNOWN, 1),
+    (22, 0.00, 1, 1.00, 5, 1.00, 0, 0, UNKNOWN, 1),
+    (17, 0.05, 3, 1.00, 4, 0.00, 1, 0, UNKNOWN, 1),
     # pages without an article: menus, lists of links, lines at the edges
-    (1, 1.00, 1, 1.00, 1, 1.00, UNKNOWN, 0),
-    (3, 1.00, 60, 0.00, 4, 1.00, UNKNOWN, 0),
-    (12, 0.90, 10, 0.95, 9, 1.00, UNKNOWN, 0),
-    (20, 0.70, 8, 1.00, 12, 0.80, UNKNOWN, 0),
-    (4, 0.00, 2, 1.00, 3, 1.00, UNKNOWN, 0),
-    (6, 0.00, 4, 0.00, 0, 0.00, UNKNOWN, 0),
-    (5, 0.00, 80, 0.00, 0, 0.00, UNKNOWN, 0),
-    (7, 0.40, 3, 1.00, 6, 0.50, UNKNOWN, 0),
-    (2, 0.00, 0, 0.00, 3, 1.00, UNKNOWN, 0),
-    (9, 0.50, 40, 0.00, 0, 0.00, UNKNOWN, 0),
-    (3, 0.00, 5, 0.00, 4, 0.00, UNKNOWN, 0),
-    (8, 0.00, 3, 1.00, 5, 0.60, UNKNOWN, 0),
-    (30, 0.60, 10, 0.90, 25, 0.70, UNKNOWN, 0),
-    (10, 0.10, 60, 0.00, 3, 1.00, UNKNOWN, 0),
+    (1, 1.00, 1, 1.00, 1, 1.00, 0, 0, UNKNOWN, 0),
+    (3, 1.00, 60, 0.00, 4, 1.00, 0, 0, UNKNOWN, 0),
+    (12, 0.90, 10, 0.95, 9, 1.00, 0, 1, UNKNOWN, 0),
+    (20, 0.70, 8, 1.00, 12, 0.80, 0, 0, UNKNOWN, 0),
+    (4, 0.00, 2, 1.00, 3, 1.00, 0, 0, UNKNOWN, 0),
+    (6, 0.00, 4, 0.00, 0, 0.00, 1, 0, UNKNOWN, 0),
+    (5, 0.00, 80, 0.00, 0, 0.00, 0, 0, UNKNOWN, 0),
+    (7, 0.40, 3, 1.00, 6, 0.50, 0, 1, UNKNOWN, 0),
+    (2, 0.00, 0, 0.00, 3, 1.00, 0, 0, UNKNOWN, 0),
+    (9, 0.50, 40, 0.00, 0, 0.00, 0, 0, UNKNOWN, 0),
+    (3, 0.00, 5, 0.00, 4, 0.00, 0, 0, UNKNOWN, 0),
+    (8, 0.00, 3, 1.00, 5, 0.60, 0, 0, UNKNOWN, 0),
+    (1, 1.00, 1, 1.00, 40, 0.00, 0, 0, UNKNOWN, 0),
+    (2, 1.00, 0, 0.00, 60, 0.00, 0, 0, UNKNOWN, 0),
+    (4, 1.00, 4, 1.00, 80, 0.00, 0, 0, UNKNOWN, 0),
+    (6, 0.80, 2, 0.00, 120, 0.00, 0, 1, UNKNOWN, 0),
+    (1, 1.00, 90, 0.00, 70, 0.00, 0, 0, UNKNOWN, 0),
+    (3, 1.00, 30, 0.00, 0, 0.00, 1, 0, UNKNOWN, 0),
+    (30, 0.60, 10, 0.90, 25, 0.70, 0, 1, UNKNOWN, 0),
+    (10, 0.10, 60, 0.00, 3, 1.00, 1, 0, UNKNOWN, 0),
 )
 
 

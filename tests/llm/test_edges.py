@@ -357,6 +357,32 @@ def test_html(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_html_keeps_the_whole_article():
+    """Names that only hold a word of boilerplate, links as paragraphs, the article's own header; other articles go."""
+    a, b, c = words(40, 1), words(40, 2), words(9, 3)
+    text = html_text.main_text
+    assert text(f"<article><div class='share-price'><p>{a}</p></div><div id='comments-on-law'><p>{b}</p></div></article>") == f"{a} {b}"
+    assert text(f"<article><p>{a}</p><p><a href='/x'>{c}</a></p><p>{b}</p></article>") == f"{a} {c} {b}"
+    assert text(f"<article><p>{a}</p><p><a href='/x'>{c}</a></p><p><a href='/y'>{c}</a></p></article>") == f"{a} {c} {c}"
+    assert text(f"<header>Site</header><article><header><h1>{c}</h1></header><p>{a}</p><footer>end</footer></article>") == f"{c} {a}"
+    assert text(f"<article><p>{a}</p></article><article class='teaser'><h2>{c}</h2><p>{b}</p></article>") == a
+    boilerplate = "comments", "ad-banner", "related-posts", "sidebar right", "comment-section", "newsletter-signup-form"
+    for name in boilerplate:
+        assert text(f"<article><p>{a}</p><div class='{name}'><p>{b}</p></div><p>{c}</p></article>") == f"{a} {c}", name
+    for name in ("has-sidebar", "no-comments", "price-alerts-explained", "commentary"):
+        assert text(f"<article class='{name}'><div class='{name}'><p>{a}</p></div></article>") == a, name
+    assert text(f"<article><ul><li><a href='/a'>x</a><li><a href='/b'>y</a><li><a href='/c'>z</a></ul><p>{a}</p></article>") == a
+
+
+def test_html_of_deep_pages_is_read_once():
+    import time
+
+    started = time.process_time()
+    for page in ("<div>" * 200_000 + "x" + "</p>" * 200_000, "<div class='x y'>" * 200_000 + "</b></div>" * 100_000, "<p>" * 200_000 + "</section>" * 200_000):
+        html_text.main_text(page)
+    assert time.process_time() - started < 20  # quadratic reading takes minutes
+
+
 def test_tree_fits_its_table():
     import numpy as np
 
