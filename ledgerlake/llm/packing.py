@@ -15,7 +15,8 @@ rank among the pieces of its length, taken within (length, chunk) with the chunk
 maps (length, rank) to a place.
 
 Defined results: a null text is empty, so its document is the separator alone. Repeated rows are packed each.
-Which of two pieces of one length gets which of their places follows doc_id, piece and text digest. An empty table
+Which of two pieces of one length gets which of their places is not defined. A vocabulary file that splits or
+merges in another way raises a ValueError. An empty table
 gives no rows. Other columns are not read.
 """
 
@@ -25,6 +26,7 @@ import bisect
 import functools
 import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -52,34 +54,68 @@ class Settings:
     chunk_rows: int = 20_000
 
 
-def byte_ranks(tokenizer_path: str) -> tuple[dict[bytes, int], str, dict[str, int]]:
-    """Byte strings of a byte-level vocabulary file with their ids, which rank the merges, the split pattern, and the
-    ids of added tokens."""
+def byte_ranks(tokenizer_path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Byte strings of a byte-level vocabulary file with their ids, which rank the merges, and ids of added tokens.
+
+    Only files that split and merge as assumed here are taken; others raise a ValueError.
+    """
     with open(tokenizer_path, encoding="utf-8") as file:
-        model = json.load(file)
+        whole = json.load(file)
+    model, split = whole["model"], whole.get("pre_tokenizer") or {}
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        raise ValueError("the file's pre-tokenizer is not the plain byte-level one")
+    if model.get("type") != "BPE" or whole.get("normalizer") or model.get("dropout") or model.get("ignore_merges"):
+        raise ValueError("the file's model is not a plain byte-pair encoding")
+    if any(model.get(x) for x in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix")):
+        raise ValueError("the file's model marks words")
+    vocab = model["vocab"]
+    merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in model["merges"]]
+    if any(x >= y for x, y in zip(merged, merged[1:])):
+        raise ValueError("the file's merges are not in the order of their ids")
     # byte-level files write bytes that are no visible Latin-1 character as the characters from 256 on
     visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     others = [b for b in range(256) if b not in visible]
     byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
-    added = {x["content"]: x["id"] for x in model.get("added_tokens", [])}
-    ranks = {bytes(byte[c] for c in token): n for token, n in model["model"]["vocab"].items() if token not in added}
-    return ranks, PATTERN, added
+    added = {x["content"]: x["id"] for x in whole.get("added_tokens", [])}
+    if any(x.get(k) for x in whole.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("the file's added tokens take in what is around them")
+    return {bytes(byte[c] for c in token): n for token, n in vocab.items() if token not in added}, added
 
 
 #: The split of byte-level vocabularies, a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The fast encoder's split gives up on runs of white space that are much longer than this.
+_LONG_BLANK = re.compile(r"\s{50000}")
 
 
-@functools.cache
-def encoding(tokenizer_path: str):
-    """Encoder of one vocabulary file; it gives the ids that `tokenizers` gives for the file, in a fifth of the time.
+class Encoder:
+    """The ids that `tokenizers` gives for a vocabulary file, in a fifth of the time where the text allows it.
 
-    An added token written out in a text is that token when encoded with `allowed_special="all"`.
+    An added token written out in a text is that token, as in the file's tokenizer.
     """
-    import tiktoken
 
-    ranks, pattern, added = byte_ranks(tokenizer_path)
-    return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+    def __init__(self, tokenizer_path: str):
+        import tiktoken
+
+        ranks, added = byte_ranks(tokenizer_path)
+        self.path = tokenizer_path
+        self.fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+    @functools.cached_property
+    def plain(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def ids(self, text: str) -> np.ndarray:
+        if len(text) >= 50_000 and _LONG_BLANK.search(text):
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
+        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+
+
+@functools.cache
+def encoding(tokenizer_path: str) -> Encoder:
+    return Encoder(tokenizer_path)
 
 
 _PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
@@ -99,7 +135,7 @@ def tokenised(documents: DataFrame, tokenizer_path: str, settings: Settings = Se
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 which, piece, start, length, crc = [], [], [], [], []
                 for row, text in enumerate(texts):
-                    ids = np.append(encoder.encode_to_numpy(text, allowed_special="all"), separator).astype("<u4")
+                    ids = np.append(encoder.ids(text), separator).astype("<u4")
                     cut = len(ids) % capacity or min(capacity, len(ids))
                     edges = [0, *range(cut, len(ids) + 1, capacity)]
                     for k, (a, b) in enumerate(zip(edges, edges[1:])):
@@ -302,29 +338,35 @@ def places(runs: list[tuple[int, tuple[int, ...]]]) -> dict[int, np.ndarray]:
     return {length: np.array(x, np.int64).T for length, x in rows.items()}
 
 
-def ranked(pieces: DataFrame, chunk_rows: int) -> DataFrame:
-    """`rank` from 0 among the pieces of one length; a task holds about `chunk_rows` rows of a length."""
+def chunked(pieces: DataFrame, chunk_rows: int) -> DataFrame:
+    """Pieces with a `chunk` of their length of about `chunk_rows` rows; pieces alike in all else differ in `row`."""
     chunks = F.greatest(F.ceil(F.col("n") / F.lit(chunk_rows)), F.lit(1)).cast("long")
     sizes = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))  # one row a length
-    cut = pieces.join(F.broadcast(sizes), "length").withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), chunks)
+    return pieces.join(F.broadcast(sizes), "length").withColumn(
+        "chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row"), chunks)
     )
+
+
+def ranked(pieces: DataFrame, chunk_rows: int) -> DataFrame:
+    """`rank` from 0 among the pieces of one length; a task holds about `chunk_rows` rows of a length."""
+    cut = chunked(pieces, chunk_rows)
     totals = cut.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("m"))
     before = totals.select(
         "length", "chunk", (F.sum("m").over(Window.partitionBy("length").orderBy("chunk")) - F.col("m")).alias("before")
     )
-    inside = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32")) - 1
+    inside = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32", "row")) - 1
     return (
         cut.withColumn("inside", inside.cast("long"))
         .join(before, ["length", "chunk"])
         .withColumn("rank", F.col("before") + F.col("inside"))
-        .drop("n", "chunk", "inside", "before")
+        .drop("n", "chunk", "inside", "before", "row")
     )
 
 
 def pack(documents: DataFrame, tokenizer_path: str, settings: Settings = Settings()) -> DataFrame:
     """Every piece with its sequence_id and offset."""
-    pieces = materialize(tokenised(documents, tokenizer_path, settings), "pieces")
+    numbered = tokenised(documents, tokenizer_path, settings).withColumn("row", F.monotonically_increasing_id())
+    pieces = materialize(numbered, "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     sent = documents.sparkSession.sparkContext.broadcast(places(plan(histogram, settings)))
     kept = ["doc_id", "piece", "start", "length", "ids_crc32"]

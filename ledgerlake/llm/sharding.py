@@ -115,14 +115,17 @@ def propagate(linked: DataFrame, quota: dict[int, int], settings: Settings) -> D
 
 
 def with_slots(rows: DataFrame, chunks: int) -> DataFrame:
-    """A gapless `slot` from 0 in every shard: linked rows first, then the others."""
-    chunk = F.pmod(F.xxhash64("seed", F.lit(1)), F.lit(chunks)) + F.when(F.col("link").isNull(), F.lit(chunks)).otherwise(F.lit(0))
+    """A gapless `slot` from 0 in every shard: linked rows first, then the others.
+
+    The number `row` deals rows that are alike in all columns over the chunks too.
+    """
+    chunk = F.pmod(F.xxhash64("seed", "row"), F.lit(chunks)) + F.when(F.col("link").isNull(), F.lit(chunks)).otherwise(F.lit(0))
     rows = rows.withColumn("chunk", chunk.cast("int"))
     totals = rows.groupBy("shard", "chunk").agg(F.count(F.lit(1)).alias("n"))
     before = totals.select(
         "shard", "chunk", (F.sum("n").over(Window.partitionBy("shard").orderBy("chunk")) - F.col("n")).alias("before")
     )
-    place = F.row_number().over(Window.partitionBy("shard", "chunk").orderBy("link", "seed", "doc_id")) - 1
+    place = F.row_number().over(Window.partitionBy("shard", "chunk").orderBy("link", "seed", "doc_id", "row")) - 1
     ranked = rows.withColumn("place", place.cast("long"))
     return ranked.join(before, ["shard", "chunk"]).withColumn("slot", F.col("before") + F.col("place")).drop("chunk", "before", "place")
 
@@ -132,6 +135,7 @@ def shard_documents(documents: DataFrame, settings: Settings = Settings()) -> Da
     shards = settings.shards
     # rows without a text's bytes; `seed` chooses the first shard and breaks ties
     facts = measured(documents, settings.row_bytes).withColumn("seed", F.xxhash64("doc_id", "text_key"))
+    facts = facts.withColumn("row", F.monotonically_increasing_id())
     facts = materialize(facts.withColumn("shard", F.pmod("seed", F.lit(shards)).cast("int")), "facts")
     n = facts.count()
     quota = {s: n // shards + (1 if s < n % shards else 0) for s in range(shards)}
@@ -145,7 +149,7 @@ def shard_documents(documents: DataFrame, settings: Settings = Settings()) -> Da
     moved = materialize(moved, "moved-to")
     f, m = facts.alias("f"), moved.alias("m")
     placed = f.join(m, (F.col("f.text_key") == F.col("m.text_key")) & (F.col("f.seed") == F.col("m.seed")), "left").select(
-        "f.doc_id", "f.size", "f.text_crc32", "f.seed",
+        "f.doc_id", "f.size", "f.text_crc32", "f.seed", "f.row",
         F.when(F.col("m.moved").isNotNull(), F.col("f.text_key")).alias("link"),
         F.coalesce("m.moved", "f.shard").alias("shard"),
     )

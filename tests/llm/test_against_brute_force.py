@@ -52,7 +52,6 @@ def check_packing(pieces, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.tokenizer_file())
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for doc_id, piece, start, length, crc, sequence, offset in pieces:
         by_doc[doc_id].append((piece, start, length, crc))

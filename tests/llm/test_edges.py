@@ -220,12 +220,50 @@ def test_encoder_gives_the_ids_of_the_file():
     from tokenizers import Tokenizer
 
     tokenizer, fast = Tokenizer.from_file(tokenizer_file()), packing.encoding(tokenizer_file())
-    tokenizer.encode_special_tokens = True
     pick = random.Random(10)
     texts = [t or "" for _, t in TEXTS] + ["<|endoftext|> x", "don't  stop\r\n\r\n  it'll", "\u2028\u00a0 \u3000x\u200b", "١٢٣ ½ Ⅷ"]
     texts += ["".join(chr(pick.choice((pick.randrange(32, 127), pick.randrange(0x20, 0xD800), pick.randrange(0xE000, 0x30000)))) for _ in range(40)) for _ in range(500)]
     for text in texts:
-        assert fast.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids, text
+        assert fast.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    for blank in (" ", "\t", "\n", "\u3000"):
+        for text in (blank * 49_999 + "x", blank * 50_000 + "x", "a" + blank * 700_000 + "<|endoftext|>", blank * 2_000_000, blank * 2_000_000 + "x"):
+            assert fast.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (blank, len(text))
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"normalizer": {"type": "NFC"}},
+        {"pre_tokenizer": {"type": "Whitespace"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}},
+        {"model": {"merges": [["h", "e"], ["Ġ", "t"]]}},
+        {"model": {"end_of_word_suffix": "</w>"}},
+        {"added_tokens": [{"id": 50256, "content": "<x>", "lstrip": True}]},
+    ],
+)
+def test_encoder_refuses_other_files(tmp_path, change):
+    import json
+
+    with open(tokenizer_file(), encoding="utf-8") as file:
+        whole = json.load(file)
+    for key, value in change.items():
+        whole[key] = whole[key] | value if key == "model" else value
+    (tmp_path / "other.json").write_text(json.dumps(whole))
+    with pytest.raises(ValueError):
+        packing.encoding(str(tmp_path / "other.json"))
+
+
+def test_chunks_divide_equal_rows(spark):
+    """50,000 rows alike in every column: no chunk of packing or sharding holds many of them."""
+    rows = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text")).repartition(8)
+    pieces = packing.tokenised(rows, tokenizer_file()).withColumn("row", F.monotonically_increasing_id())
+    chunks = [r["count"] for r in packing.chunked(pieces, 1000).groupBy("length", "chunk").count().collect()]
+    assert sum(chunks) == 50_000 and max(chunks) < 1300
+    found = sharding.shard_documents(rows, sharding.Settings(shards=4, chunk_rows=1000)).collect()
+    slots = {}
+    for r in found:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(found) == 50_000 and all(sorted(x) == list(range(12_500)) for x in slots.values())
 
 
 def test_added_tokens_are_one_id(spark):
