@@ -222,12 +222,13 @@ def _(t):
     "SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
 )
 def _(t):
-    """Events arrive in two files; the state after both batches is the latest event per user."""
+    """Early and late events arrive in two batches of many files; the state is the latest event per user."""
     src, target, checkpoint = (fresh_path(t.spark, n) for n in ("changes", "state", "progress"))
     rows = t.events.select("user_id", "event_id", "ts")
     early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
-    rows.filter(early).coalesce(1).write.mode("append").parquet(src)
-    rows.filter(~early).coalesce(1).write.mode("append").parquet(src)
-    stream = landing.stream_files(t.spark, src, rows.schema, max_files=1)
-    landing.stream_upsert(stream, "user_id", "ts", target, checkpoint, ["event_id"], buckets=8)
+    for part in (early, ~early):
+        rows.filter(part).write.mode("append").parquet(src)
+        # the second run finds the files of the second write only
+        stream = landing.stream_files(t.spark, src, rows.schema)
+        landing.stream_upsert(stream, "user_id", "ts", target, checkpoint, ["event_id"], buckets=8)
     return landing.read_state(t.spark, target, rows.schema)

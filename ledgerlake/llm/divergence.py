@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,9 @@ from ledgerlake.session import fresh_path
 
 #: Bytes of a term: ASCII letters and all bytes of other characters.
 _IS_LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
+_RANGE = 16  # indices of a range: 2^16
+_MASK = (1 << _RANGE) - 1
+_HELD = 1 << 22  # entries a task adds up at once
 COUNTS = "lang string, source string, term string, count long"
 
 
@@ -101,11 +105,73 @@ def block_counts(held: DataFrame, settings: Settings) -> DataFrame:
     fitted.save(path)  # read back as a table, so that the terms are not sent one by one from the driver
     vocabulary = held.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
     vector = F.unwrap_udt("vector")
-    entries = fitted.transform(held).select(
-        "source", F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("value")))
-    )
-    sums = entries.groupBy("source", "index").agg(F.sum(F.col("value").cast("long")).alias("count"))
-    return sums.join(vocabulary, "index").select("source", "term", "count")
+    entries = fitted.transform(held).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+    return group_sums(entries).join(vocabulary, "index").select("source", "term", "count")
+
+
+def group_sums(entries: DataFrame) -> DataFrame:
+    """Sum of the sparse vectors (columns indices and values) of each source: source, index, count.
+
+    A task adds up what it holds of a source, and sends it in ranges of indices; a range is added up in one array of
+    fixed length, so no sum is as wide as the vocabulary.
+    """
+
+    def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, values = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(keys, kind="stable")
+        keys, values = keys[order], values[order]
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[starts], np.add.reduceat(values, starts)
+
+    def sent(names: list[str | None], held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, values = added(held)
+        cuts = np.flatnonzero(np.diff(keys >> _RANGE, prepend=-1))
+        ends = [*cuts[1:].tolist(), len(keys)]
+        at = keys[cuts]
+        rows = [(keys[i:j] & _MASK, values[i:j]) for i, j in zip(cuts.tolist(), ends)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([names[k] for k in (at >> 32).tolist()], pa.string()),
+                pa.array((at & 0xFFFFFFFF) >> _RANGE, pa.int32()),
+                pa.array([k.astype(np.int32).tobytes() for k, _ in rows], pa.binary()),
+                pa.array([v.tobytes() for _, v in rows], pa.binary()),
+            ],
+            ["source", "range", "indices", "values"],
+        )
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict[str, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+        for batch in batches:
+            which = np.array([codes.setdefault(s, len(codes)) for s in batch.column("source").to_pylist()], np.int64)
+            lists = batch.column("indices")
+            keys = np.repeat(which << 32, np.diff(lists.offsets.to_numpy())) | lists.flatten().to_numpy().astype(np.int64)
+            if len(keys):
+                held.append((keys, batch.column("values").flatten().to_numpy().astype(np.int64)))
+                n += len(keys)
+            if n >= _HELD:
+                held = [added(held)]
+                n = len(held[0][0])
+                if 2 * n >= _HELD:
+                    yield sent(list(codes), held)
+                    codes, held, n = {}, [], 0
+        if held:
+            yield sent(list(codes), held)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = W.rows(batches, "source", "range", "indices", "values")
+        for (source, place), parts in groupby(rows, lambda row: row[:2]):
+            sums = np.zeros(_MASK + 1, np.int64)
+            for _, _, indices, values in parts:
+                sums[np.frombuffer(indices, np.int32)] += np.frombuffer(values, np.int64)
+            found = np.flatnonzero(sums)
+            columns = [pa.array([source]).take(pa.array(np.zeros(len(found), np.int32))), pa.array(found + (place << _RANGE), pa.int32()), pa.array(sums[found])]
+            yield pa.RecordBatch.from_arrays(columns, ["source", "index", "count"])
+
+    parts = entries.mapInArrow(partial, "source string, range int, indices binary, values binary")
+    dealt = parts.repartition("source", "range").sortWithinPartitions("source", "range")
+    return dealt.mapInArrow(total, "source string, index int, count long")
 
 
 def term_counts(held: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.incremental import upsert
 from ledgerlake.operators.latest import latest_per_key
 from ledgerlake.operators.ordering import Names, names
+from ledgerlake.sources.files import delete, names_in, publish_text, read_text
 from ledgerlake.sources.sinks import ROWS_PER_FILE
 
 
@@ -44,32 +46,49 @@ def stream_dedupe(df: DataFrame, keys: Names, ts: str, delay: str = "1 day") ->
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def _versions(spark: SparkSession, target: str, before: int) -> dict[int, int]:
-    """Newest state version below ``before`` per bucket; one small row per bucket."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return {}
-        raise
-    found = files.select(
-        F.regexp_extract("path", r"/v=(\d+)/", 1).cast("bigint").alias("v"),
-        F.regexp_extract("path", r"/bucket=(\d+)/", 1).cast("int").alias("bucket"),
-    )
-    newest = found.filter(F.col("v") < before).groupBy("bucket").agg(F.max("v").alias("v"))
-    return {r["bucket"]: r["v"] for r in newest.collect()}
+def _manifests(spark: SparkSession, target: str) -> list[int]:
+    return sorted(int(n.removesuffix(".json")) for n in names_in(spark, f"{target}/manifest") if n.endswith(".json"))
+
+
+def _manifest(spark: SparkSession, target: str, number: int) -> dict:
+    return json.loads(read_text(spark, f"{target}/manifest/{number:012d}.json"))
+
+
+def _newest(spark: SparkSession, target: str) -> tuple[int, dict]:
+    """Number and content of the manifest that counts; number -1 for a target without state."""
+    numbers = _manifests(spark, target)
+    if not numbers:
+        return -1, {"buckets": None, "folders": {}, "applied": {}}
+    return numbers[-1], _manifest(spark, target, numbers[-1])
 
 
-def _state_paths(target: str, versions: dict[int, int]) -> list[str]:
-    return [f"{target}/v={v}/bucket={b}" for b, v in sorted(versions.items())]
+def _state_paths(target: str, folders: dict[str, str]) -> list[str]:
+    return [f"{target}/data/{folder}/bucket={bucket}" for bucket, folder in sorted(folders.items())]
 
 
 def read_state(spark: SparkSession, target: str, schema) -> DataFrame:
-    """The current state kept by :func:`stream_upsert`."""
-    paths = _state_paths(target, _versions(spark, target, 2**62))
+    """The current state kept by :func:`stream_upsert`: what the newest manifest names, and nothing else."""
+    paths = _state_paths(target, _newest(spark, target)[1]["folders"])
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
+def compact_state(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
+    """Remove manifests but the newest ``keep``, and data that none of these names; returns the removed folders.
+
+    Half-written data of failed batches goes too. Call it while no upsert runs; readers of older versions must be done.
+    """
+    if keep < 1:
+        raise ValueError("keep at least the newest manifest")
+    numbers = _manifests(spark, target)
+    used = {f for n in numbers[-keep:] for f in _manifest(spark, target, n)["folders"].values()}
+    for number in numbers[:-keep]:
+        delete(spark, f"{target}/manifest/{number:012d}.json")
+    unused = [f for f in names_in(spark, f"{target}/data") if f not in used]
+    for folder in unused:
+        delete(spark, f"{target}/data/{folder}")
+    return unused
+
+
 def stream_upsert(
     df: DataFrame,
     key: Names,
@@ -81,28 +100,44 @@ def stream_upsert(
 ) -> None:
     """Keep the current state per key from a change stream; read it with :func:`read_state`.
 
-    The state is split into hash buckets of the key. A micro-batch rewrites only the buckets it touches, as
-    a new version ``v=<batch>`` made from the versions before it, so a batch that runs again after a failure
-    gives the same result and untouched buckets are never copied.
+    The state is split into hash buckets of the key. A micro-batch rewrites only the buckets it touches, into a
+    folder of its own, and then publishes a manifest, one small file that names the folder of every bucket. It
+    appears in one step and is numbered by what the target holds, so a half-written batch is never seen and a new
+    checkpoint goes on from the state there is. A manifest also holds the last batch of each checkpoint: a batch
+    that runs again after it was published changes nothing. Two writers at once: the later one fails.
     """
     spark = df.sparkSession
     schema = df.schema
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in names(key)]), F.lit(buckets)).cast("int")
 
     def merge(rows: DataFrame, batch: int) -> None:
+        session = rows.sparkSession
+        stream = json.loads(read_text(session, f"{checkpoint}/metadata"))["id"]
+        number, state = _newest(session, target)
+        if batch <= state["applied"].get(stream, -1):
+            return
+        if state["buckets"] not in (None, buckets):
+            raise ValueError(f"the state of {target} has {state['buckets']} buckets, not {buckets}")
         # what the batch brings is reduced first: one row per key
         changes = latest_per_key(rows, key, [ts, *ties]).withColumn("bucket", bucket).persist()
-        touched = {r["bucket"] for r in changes.select("bucket").distinct().collect()}
-        known = {b: v for b, v in _versions(rows.sparkSession, target, batch).items() if b in touched}
-        merged = changes
-        if known:
-            paths = _state_paths(target, known)
-            before = rows.sparkSession.read.schema(schema).parquet(*paths).withColumn("bucket", bucket)
-            merged = upsert(before, changes, key, ts, ties)
-        merged.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(
-            f"{target}/v={batch}"
-        )
-        changes.unpersist()
+        try:
+            touched = {str(r["bucket"]) for r in changes.select("bucket").distinct().collect()}
+            known = {b: f for b, f in state["folders"].items() if b in touched}
+            merged = changes
+            if known:
+                before = session.read.schema(schema).parquet(*_state_paths(target, known)).withColumn("bucket", bucket)
+                merged = upsert(before, changes, key, ts, ties)
+            folder = uuid.uuid4().hex
+            merged.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{target}/data/{folder}")
+        finally:
+            changes.unpersist()
+        state = {
+            "buckets": buckets,
+            "folders": state["folders"] | dict.fromkeys(touched, folder),
+            "applied": state["applied"] | {stream: batch},
+        }
+        if not publish_text(session, f"{target}/manifest/{number + 1:012d}.json", json.dumps(state)):
+            raise RuntimeError(f"another writer changed {target} during batch {batch}")
 
     query = (
         df.writeStream.foreachBatch(merge)
