@@ -53,7 +53,7 @@ class Settings:
     bucket: int = 1 << 20
     batch: int = 1 << 20
     hot: int = 32
-    block: int = 2_000_000
+    block: int = 250_000
     anchors: int = 8
     mu: float = 0.0085
 
@@ -111,27 +111,30 @@ def _parts(places: np.ndarray) -> Iterator[tuple[int, slice]]:
 
 
 def entries(documents: DataFrame, bits: int, settings: Settings, seed: int) -> DataFrame:
-    """Entries (shingle, node) packed by range of the shingle; `told` ones have a frequency of at least `hot`."""
+    """Entries (shingle, node) packed by range of the shingle, nodes as a list and places in it; `told` ones have a frequency of at least `hot`."""
 
     def packed(sets: dict[int, np.ndarray], turn: int) -> pa.RecordBatch:
-        hashes = np.concatenate(list(sets.values()))
-        nodes = np.repeat(np.array(list(sets), np.int64), [len(x) for x in sets.values()])
+        hashes, names = np.concatenate(list(sets.values())), np.array(list(sets), np.int64)
+        which = np.repeat(np.arange(len(names)), [len(x) for x in sets.values()])
         order = np.argsort(hashes, kind="stable")
-        hashes, nodes = hashes[order], nodes[order]
+        hashes, which = hashes[order], which[order]
         starts = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
         rank = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
         told = rank >= settings.hot
-        columns: tuple[list, ...] = ([], [], [], [])
+        columns: tuple[list, ...] = ([], [], [], [], [])
         for mask, is_told in ((~told, False), (told, True)):
-            some, theirs = hashes[mask], nodes[mask]
+            some, theirs = hashes[mask], which[mask]
             # told entries need no further count: they may pass through any range
             places = _places(some, bits) if not is_told else np.full(len(some), turn % (1 << bits))
             for place, part in _parts(places):
-                for column, value in zip(columns, (place, is_told, some[part], theirs[part])):
+                used = np.zeros(len(names), bool)
+                used[theirs[part]] = True
+                short = (np.cumsum(used) - 1)[theirs[part]].astype(np.uint16)
+                for column, value in zip(columns, (place, is_told, some[part], names[used], short)):
                     column.append(value)
-        place, is_told, some, theirs = columns
+        place, is_told, *arrays = columns
         return pa.RecordBatch.from_arrays(
-            [pa.array(place, pa.int32()), pa.array(is_told, pa.bool_()), _binary(some), _binary(theirs)], ["place", "told", "hashes", "nodes"]
+            [pa.array(place, pa.int32()), pa.array(is_told, pa.bool_()), *map(_binary, arrays)], ["place", "told", "hashes", "nodes", "which"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +145,7 @@ def entries(documents: DataFrame, bits: int, settings: Settings, seed: int) -> D
                 node, _ = node_ids(found, seed)
                 n += 0 if node in held else len(found)
                 held[node] = found
-            if n >= settings.batch:
+            if n >= settings.batch or len(held) == 1 << 16:
                 turn = turn * 31 + node
                 yield packed(held, turn)
                 held, n = {}, 0
@@ -150,7 +153,7 @@ def entries(documents: DataFrame, bits: int, settings: Settings, seed: int) -> D
             yield packed(held, turn * 31 + node)
 
     return documents.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "place int, told boolean, hashes binary, nodes binary"
+        run, "place int, told boolean, hashes binary, nodes binary, which binary"
     )
 
 
@@ -185,16 +188,16 @@ def shared(packs: DataFrame, bits: int, settings: Settings) -> DataFrame:
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, ("place",), ("told", "hashes", "nodes")):
-            kept_hashes, kept_nodes = [], []
-            for told, hashes, nodes in rows:
+        for _, rows in _groups(batches, ("place",), ("told", "hashes", "nodes", "which")):
+            kept: tuple[list, list] = ([np.zeros(0, U64)], [np.zeros(0, np.int64)])
+            for told, *packs in rows:
+                hashes, nodes, which = map(np.frombuffer, packs, (U64, np.int64, np.uint16))
                 if told:
-                    some = np.frombuffer(hashes, U64)
-                    yield from packed(some, np.frombuffer(nodes, np.int64), np.full(len(some), settings.hot, np.uint8))
+                    yield from packed(hashes, nodes[which], np.full(len(hashes), settings.hot, np.uint8))
                 else:
-                    kept_hashes.append(hashes)
-                    kept_nodes.append(nodes)
-            hashes, nodes = _join_bytes(kept_hashes, U64), _join_bytes(kept_nodes, np.int64)
+                    kept[0].append(hashes)
+                    kept[1].append(nodes[which])
+            hashes, nodes = map(np.concatenate, kept)
             if not len(hashes):
                 continue
             order = np.lexsort((nodes, hashes))
@@ -473,6 +476,7 @@ def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     bits = max(0, math.ceil(math.log2(total / settings.bucket))) if total else 0
     found = shared(entries(documents, bits, settings, seed), bits, settings)
     kept = scratch.write("kept", candidates(found, nodes.select("node", "size"), bits, settings))
+    scratch.drop()  # the shuffles of the entries are read
     found = components(links_of(kept, scratch, settings))
 
     rooted = nodes.join(found, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
