@@ -371,9 +371,9 @@ def _(t):
     """The whole events table as gzip archives whose folder date is two days old."""
     folder, path = fresh_path(t.spark, "inbox"), fresh_path(t.spark, "visits")
     rows = t.events.select("event_id", F.col("event_type").alias("Screen Name"))
-    rows.coalesce(1).write.option("header", True).option("compression", "gzip").csv(folder)
-    written = readers.list_files(t.spark, folder, "part-*.csv.gz").first()["path"]
-    sinks.move_file(t.spark, written, f"{folder}-in/Visits_x_29_01_2024.csv.gz")
+    rows.repartition(8).write.option("header", True).option("compression", "gzip").csv(folder)
+    for i, written in enumerate(readers.list_files(t.spark, folder, "part-*.csv.gz").toLocalIterator()):
+        sinks.move_file(t.spark, written["path"], f"{folder}-in/Visits_{i}_29_01_2024.csv.gz")
     jobs.land_screen_visits(t.spark, f"{folder}-in", path, "Visits", dt.date(2024, 1, 31), overwrite=True, suffix=".csv.gz")
     return t.spark.read.schema("event_id string, screen_name string, date string, year int, month int, day int").parquet(path)
 
@@ -384,12 +384,12 @@ def _(t):
           0 AS left_behind FROM customer""",
 )
 def _(t):
-    """A CSV table of two differing files becomes Parquet; the sources move to the archive."""
+    """A CSV table of files with two headers becomes Parquet; the sources move to the archive."""
     src, dst = fresh_path(t.spark, "csvtable"), fresh_path(t.spark, "parquettable")
     money = F.col("c_acctbal").cast("decimal(18,2)").alias("c_acctbal")
     parts = {"1": t.customer.filter("c_acctbal >= 0").select("c_custkey", "c_mktsegment", money), "2": t.customer.filter("c_acctbal < 0").select("c_custkey", "c_mktsegment")}
     for name, part in parts.items():
-        part.coalesce(1).write.option("header", True).csv(f"{src}/date=2024010{name}")
+        part.write.option("header", True).csv(f"{src}/date=2024010{name}")
     jobs.csv_to_parquet(t.spark, src, dst, f"{src}_archive")
     left = readers.list_files(t.spark, src, "*.csv").agg(F.count(F.lit(1)).cast("int")).scalar()
     return t.spark.read.parquet(dst).withColumn("left_behind", left)

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-import gzip
-import io
-import zipfile
-from collections.abc import Iterator, Mapping, Sequence
+from collections import Counter
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.setops import union_evolving
+from ledgerlake.sources.archives import read_csv_archive  # noqa: F401
+from ledgerlake.session import materialize
+from ledgerlake.sources.files import each_file, read_bytes
 
 
 def read_sql(spark: SparkSession, sql: str, params: Mapping[str, object] | None = None, **tables) -> DataFrame:
@@ -118,71 +118,6 @@ def read_csv_any_encoding(spark: SparkSession, path: str | Sequence[str]) -> Dat
     return union_evolving(parts)
 
 
-def _decode(data: bytes) -> str:
-    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        return data.decode("utf-16")
-    for encoding in ("utf-8-sig", "cp1252"):
-        try:
-            return data.decode(encoding)
-        except UnicodeDecodeError:
-            continue
-    return data.decode("latin1")
-
-
-def _members(name: str, data: bytes) -> Iterator[tuple[str, bytes]]:
-    if zipfile.is_zipfile(io.BytesIO(data)):
-        with zipfile.ZipFile(io.BytesIO(data)) as archive:
-            listed = [m for m in archive.namelist() if m.lower().endswith(".csv")]
-            if not listed:
-                raise ValueError(f"no CSV inside {name}")
-            for member in listed:
-                yield member, archive.read(member)
-    elif data[:2] == b"\x1f\x8b":
-        yield name.removesuffix(".gz"), gzip.decompress(data)
-    else:
-        yield name, data
-
-
-def _archive_rows(batches: Iterator[pd.DataFrame], size: int = 5000) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            for member, data in _members(path.rsplit("/", 1)[-1], content):
-                rows = csv.reader(io.StringIO(_decode(data), newline=""))
-                header = next(rows, None)
-                if not header:
-                    continue
-                out = []
-                for row in rows:
-                    if not row or len(row) > len(header):
-                        continue
-                    padded = [v if v != "" else None for v in row] + [None] * (len(header) - len(row))
-                    out.append((path, member, header, padded))
-                    if len(out) == size:
-                        yield pd.DataFrame(out, columns=["path", "member", "header", "values"])
-                        out = []
-                if out:
-                    yield pd.DataFrame(out, columns=["path", "member", "header", "values"])
-
-
-def read_csv_archive(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
-) -> DataFrame:
-    """CSV members of zip, gzip or plain files, told apart by their first bytes.
-
-    All columns are text; lines with too many fields are skipped. ``path`` and ``member`` say where a
-    row came from. A zip cannot be split, so one archive is one unit of work.
-    """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    rows = files.mapInPandas(
-        _archive_rows, "path string, member string, header array<string>, values array<string>"
-    )
-    if columns is None:
-        found = rows.select(F.explode("header").alias("c")).distinct().orderBy("c")
-        columns = [r["c"] for r in found.toLocalIterator()]
-    cells = F.map_from_arrays("header", "values")
-    return rows.select("path", "member", *[cells[c].alias(c) for c in columns])
-
-
 def list_files(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
     """Paths, names, sizes and times of files under a folder; contents are not read."""
     files = (
@@ -222,27 +157,61 @@ def backlog_of(
     return found.filter(F.datediff(F.lit(today), F.col("file_date")) <= days)
 
 
-def read_csv_tree(spark: SparkSession, base: str) -> DataFrame:
-    """Every ``.csv`` below a folder as text columns plus ``source_path``; files may differ in header."""
+def first_line(spark: SparkSession, path: str, step: int = 1 << 14) -> str | None:
+    """The first line of a text file; only its bytes are read, and some behind."""
+    data = b""
+    while b"\n" not in data and b"\r" not in data:
+        more = read_bytes(spark, path, len(data), step)
+        if not more:
+            break
+        data += more
+        step *= 2
+    found = data.removeprefix(b"\xef\xbb\xbf").splitlines()
+    return found[0].decode(errors="replace") if found else None
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header as Spark's CSV reader makes them: no empty ones, repeated ones numbered."""
+    raw = next(csv.reader([line], escapechar="\\", doublequote=False))
+    counts = Counter(name.lower() for name in raw)
+    return [f"_c{i}" if not name else f"{name}{i}" if counts[name.lower()] > 1 else name for i, name in enumerate(raw)]
+
+
+def tree_headers(spark: SparkSession, base: str) -> DataFrame:
+    """One small row for each ``.csv`` below a folder: its names in the scan and outside, and its columns."""
     options = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
-    lines = spark.read.options(**options).text(base)
-    heads = (
-        lines.filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("i"))
-        .groupBy("path")
-        .agg(F.min_by("value", "i").alias("head"))
-        .groupBy("head")
-        .agg(F.collect_list("path").alias("paths"))
-    )
-    parts = [
-        spark.read.option("header", True)
-        .csv(row["paths"])
-        .withColumn("source_path", F.col("_metadata.file_path"))
-        for row in heads.orderBy("head").toLocalIterator()
-    ]
-    if not parts:
+    files = spark.read.format("binaryFile").options(**options).load(base).where("length > 0")
+    urls = {r["path"]: r["url"] for r in files.select("path", F.col("_metadata.file_path").alias("url")).toLocalIterator()}
+    heads = each_file(urls, lambda path: first_line(spark, path))
+    rows = [(urls[path], path, header_names(line)) for path, line in heads if line is not None and line.strip()]
+    return spark.createDataFrame(rows, "url string, source_path string, header array<string>")
+
+
+def read_csv_tree(spark: SparkSession, base: str) -> DataFrame:
+    """Every ``.csv`` below a folder as text columns plus ``source_path``; files may differ in header.
+
+    The first bytes of each file give its header. Then the tree is scanned once, by position, and each row takes its
+    columns from where its file's header has them.
+    """
+    heads = materialize(tree_headers(spark, base), "headers")
+    widest = heads.agg(F.max(F.size("header"))).first()[0]
+    if not widest:
         raise FileNotFoundError(f"no .csv files under {base}")
-    return union_evolving(parts)
+    found = heads.select(F.explode("header").alias("name")).groupBy(F.lower("name")).agg(F.min("name").alias("name"))
+    names = [r["name"] for r in found.orderBy("name").select("name").toLocalIterator()]
+    place = lambda name: F.array_position(F.transform("header", F.lower), F.lit(name.lower())).cast("int") - 1
+    heads = heads.select("url", "source_path", F.array(*(place(n) for n in names)).alias("places"))
+    by_place = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(widest)])
+    scan = (
+        spark.read.schema(by_place)
+        .option("header", True)
+        .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .csv(base)
+        .select(F.array(*(f"_{i}" for i in range(widest))).alias("cells"), F.col("_metadata.file_path").alias("url"))
+    )
+    rows = scan.join(heads, "url")
+    cell = lambda i: F.when(F.col("places")[i] >= 0, F.get("cells", F.col("places")[i]))
+    return rows.select(*(cell(i).alias(n) for i, n in enumerate(names)), "source_path")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -55,6 +55,65 @@ def test_archives_zip_gzip_and_plain(spark, tmp_path):
     )
 
 
+def test_archives_of_many_cells(spark, tmp_path, monkeypatch):
+    """Members larger than a cell, many in one archive, stored and deflated, with end marks and quotes across pieces."""
+    import random
+
+    from ledgerlake.sources import archives
+
+    pick, expected = random.Random(3), []
+    with zipfile.ZipFile(tmp_path / "many.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for m in range(12):
+            lines = [(str(i), "".join(pick.choice('abé\n",;') for _ in range(pick.randrange(60)))) for i in range(1500 if m < 3 else 20)]
+            text = "id,v\r\n" + "".join(f'{i},"{v.replace(chr(34), chr(34) * 2)}"\r\n' for i, v in lines)
+            expected += [(f"d/{m}.csv", i, v or None) for i, v in lines]
+            encoding = ("utf-8", "utf-16", "cp1252")[m % 3]
+            z.writestr(f"d/{m}.csv", text.encode(encoding), zipfile.ZIP_STORED if m % 2 else zipfile.ZIP_DEFLATED)
+    text = "id,v\n" + "".join(f"{i},{pick.random()}\n" for i in range(3000))
+    expected += [(n, *line.split(",")) for n in ("plain.csv", "packed.bin", "last.csv") for line in text.split()[1:]]
+    put(tmp_path / "plain.csv", text.encode("utf-8-sig"))
+    put(tmp_path / "packed.bin", gzip.compress(text[:9000].encode()) + gzip.compress(text[9000:].encode()))
+    put(tmp_path / "last.csv.gz", gzip.compress(text.rstrip("\n").encode()))
+    put(tmp_path / "u16.csv", "id,v\n1,\u0a0a".encode("utf-16"))
+    put(tmp_path / "empty.csv", b"")
+    expected.append(("u16.csv", "1", "\u0a0a"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = readers.read_csv_archive(spark, str(tmp_path), ["id", "v"])
+        assert rows(got, "member", "id", "v") == sorted(expected, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_large_member_is_read_in_bounded_memory():
+    """200 MB of text in one member; what is held at a time stays far below that."""
+    import io
+    import tracemalloc
+
+    import pandas as pd
+
+    from ledgerlake.sources import archives
+
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z, z.open("big.csv", "w") as member:
+        member.write(b"id,v\n")
+        for _ in range(200):
+            member.write(b"1,abcdefghijklmnop\n" * 55_000)
+    data = held.getvalue()
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        (info,) = z.infolist()
+    names = ["path", "member", "start", "size", "kind", "encoding", "at", "data"]
+    pieces = (
+        pd.DataFrame([("p", "big.csv", 0, info.compress_size, archives.DEFLATED, "utf-8-sig", at, data[at : at + 4096])], columns=names)
+        for at in range(0, len(data), 4096)
+    )
+    tracemalloc.start()
+    n = sum(len(x) for x in archives._rows(pieces))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 200 * 55_000 and peak < 30 << 20
+
+
 def test_zip_without_csv_is_an_error(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("readme.txt", "no")
@@ -101,6 +160,42 @@ def test_csv_tree_to_parquet_archives_after_the_check(spark, tmp_path):
     assert (archive / "date=20240101" / "a.csv").exists() and not (src / "date=20240101" / "a.csv").exists()
 
 
+def test_csv_tree_is_scanned_once(spark, tmp_path):
+    """Fifty headers, columns in any order, short and long lines, quotes, blank lines, lines like the header."""
+    expected = []
+    for i in range(50):
+        names = [f"c{i}", "id", "Name"] if i % 2 else ["id", "name", f"c{i}", "c0"]
+        body = [",".join(names), f'x{i},"a, ""b""",{i}', "", ",".join(names), "only", "1,2,3,4,5,6"]
+        put(tmp_path / f"d={i % 7}" / f"f {i}.csv", ("\n".join(body) + "\n").encode("utf-8-sig" if i % 3 == 0 else "utf-8"))
+        whole = spark.read.option("header", True).csv(str(tmp_path / f"d={i % 7}" / f"f {i}.csv"))
+        lower = [c.lower() for c in whole.columns]
+        expected += [{c: v for c, v in zip(lower, r) if v is not None} for r in whole.collect()]
+    put(tmp_path / "none.csv", b"")
+    got = readers.read_csv_tree(spark, str(tmp_path))
+    assert len(got.columns) == 50 + 2 + 2 + 1  # c0, and c02 and c03 for the header that repeats it
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    found = [{c.lower(): v for c, v in r.asDict().items() if v is not None and c != "source_path"} for r in got.collect()]
+    key = lambda d: sorted(d.items())
+    assert sorted(found, key=key) == sorted(expected, key=key)
+    paths = {r["source_path"].split("file:", 1)[-1] for r in got.select("source_path").distinct().collect()}
+    assert {p.rsplit("/", 1)[-1] for p in paths} == {f"f {i}.csv" for i in range(50)}
+
+
+def test_header_names_are_those_of_the_reader(spark, tmp_path):
+    for i, line in enumerate(["a,b", "a,,A,b", '"x, y",z', "a,a,a", " a , b"]):
+        put(tmp_path / f"{i}.csv", (line + "\n1\n").encode())
+        assert readers.header_names(line) == spark.read.option("header", True).csv(str(tmp_path / f"{i}.csv")).columns
+
+
+def test_only_the_first_bytes_of_a_file_are_read(spark, tmp_path, monkeypatch):
+    put(tmp_path / "big.csv", b"id,v\n" + b"1,2\n" * 500_000)
+    read = []
+    plain = readers.read_bytes
+    monkeypatch.setattr(readers, "read_bytes", lambda s, p, start, n: read.append(n) or plain(s, p, start, n))
+    assert readers.first_line(spark, str(tmp_path / "big.csv")) == "id,v" and sum(read) <= 1 << 15
+
+
 def test_sql_text_with_parameters(spark, tmp_path):
     put(tmp_path / "q.sql", b"SELECT id FROM {t}\nWHERE id > :low;\n")
     got = readers.read_sql_file(spark, str(tmp_path / "q.sql"), {"low": 1}, t=spark.range(3))
