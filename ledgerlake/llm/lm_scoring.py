@@ -96,10 +96,8 @@ def unflat(values: np.ndarray, settings: Settings) -> Weights:
     return out
 
 
-def encoded(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Input and class of every word of a text."""
-    hashes = word_hashes(text)
-    return (hashes % U64(settings.inputs)).astype(np.int32), classes_of(hashes, settings)
+def inputs_of(hashes: np.ndarray, settings: Settings) -> np.ndarray:
+    return (hashes % U64(settings.inputs)).astype(np.int32)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -116,87 +114,101 @@ def targets(n_words: int, turn: int, settings: Settings) -> slice:
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    """Of every column; what is below e^-60 of the largest counts as that, since much smaller numbers are slow."""
+    logits -= logits.max(axis=0)
+    np.maximum(logits, -60, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= logits.sum(axis=0)
     return logits
 
 
 def forward(weights: Weights, around: np.ndarray, target: np.ndarray, settings: Settings):
-    """Hidden layer, the two steps' probabilities, and the targets' probabilities; `around` has a column a place."""
-    total = weights["hidden"] + np.zeros((len(around), settings.width), np.float32)
-    for k in range(len(PLACES)):
-        total += weights["words"][around[:, k]] * weights["places"][k]
-    hidden = np.tanh(total)
+    """Neighbours' vectors, hidden layer, the two steps' probabilities, and the targets'.
+
+    `around` has a row a target; the other arrays have a column a target, so that sums over a few classes run along
+    whole rows.
+    """
+    near = weights["words"][around]
+    total = np.einsum("nkd,kd->nd", near, weights["places"])
+    total += weights["hidden"]
+    hidden = np.tanh(np.ascontiguousarray(total.T))
     group, inside = target // settings.groups, target % settings.groups
-    first = _softmax(hidden @ weights["group"] + weights["group_bias"])
-    gated = hidden * weights["gate"][group]
-    second = _softmax(gated @ weights["inside"] + weights["inside_bias"][group])
+    first = _softmax(weights["group"].T @ hidden + weights["group_bias"][:, None])
+    gate = weights["gate"][group].T
+    gated = hidden * gate
+    second = _softmax(weights["inside"].T @ gated + weights["inside_bias"][group].T)
     every = np.arange(len(target))
-    return hidden, gated, first, second, group, inside, first[every, group], second[every, inside]
+    return near, hidden, gate, gated, first, second, group, inside, first[group, every], second[inside, every]
 
 
-def _sum_by(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the rows of equal index."""
-    order = np.argsort(index, kind="stable")
-    found, first = np.unique(index[order], return_index=True)
-    return found, np.add.reduceat(rows[order], first, axis=0)
+def _sums_of_inputs(around: np.ndarray, rows: np.ndarray, places: np.ndarray, inputs: int) -> np.ndarray:
+    """Gradient of every input's vector: the rows (one for each dimension) by the inputs around, weighted by place."""
+    index = around.ravel()
+    return np.stack([np.bincount(index, (row[:, None] * place).ravel(), inputs) for row, place in zip(rows, places.T)], axis=1)
 
 
 def train_step(weights: Weights, past: Weights, around: np.ndarray, target: np.ndarray, settings: Settings) -> None:
     """One step of gradient descent, each weight's rate divided by the root of its past squares."""
     n = np.float32(len(target))
-    hidden, gated, first, second, group, inside, _, _ = forward(weights, around, target, settings)
+    near, hidden, gate, gated, first, second, group, inside, _, _ = forward(weights, around, target, settings)
     every = np.arange(len(target))
-    first[every, group] -= 1
-    second[every, inside] -= 1
-    d_gated = second @ weights["inside"].T
-    d_hidden = first @ weights["group"].T + d_gated * weights["gate"][group]
+    first[group, every] -= 1
+    second[inside, every] -= 1
+    d_gated = weights["inside"] @ second
+    d_hidden = weights["group"] @ first + d_gated * gate
     d_total = d_hidden * (1 - hidden * hidden)
+    is_group = np.zeros((settings.groups, len(target)), np.float32)
+    is_group[group, every] = 1
 
     def move(name: str, gradient: np.ndarray, at=slice(None)) -> None:
         gradient = gradient / n
         past[name][at] += gradient * gradient
         weights[name][at] -= settings.rate * gradient / np.sqrt(past[name][at] + 1e-8)
 
-    at, sums = _sum_by(around.T.ravel(), np.concatenate([d_total * weights["places"][k] for k in range(len(PLACES))]))
-    d_places = np.stack([(d_total * weights["words"][around[:, k]]).sum(axis=0) for k in range(len(PLACES))])
-    gates, d_gate = _sum_by(group, d_gated * hidden)
-    _, d_inside_bias = _sum_by(group, second)
-    move("group", hidden.T @ first)
-    move("group_bias", first.sum(axis=0))
-    move("inside", gated.T @ second)
-    move("inside_bias", d_inside_bias, gates)
-    move("gate", d_gate, gates)
+    d_words = _sums_of_inputs(around, d_total, weights["places"], settings.inputs + 1)
+    d_places = np.einsum("nkd,nd->kd", near, np.ascontiguousarray(d_total.T))
+    gates = np.unique(group)
+    move("group", hidden @ first.T)
+    move("group_bias", first.sum(axis=1))
+    move("inside", gated @ second.T)
+    move("inside_bias", (is_group @ second.T)[gates], gates)
+    move("gate", (is_group @ (d_gated * hidden).T)[gates], gates)
     move("places", d_places)
-    move("hidden", d_total.sum(axis=0))
-    move("words", sums, at)
+    move("hidden", d_total.sum(axis=1))
+    move("words", d_words.astype(np.float32))
+
+
+def neighbours(inputs: np.ndarray, settings: Settings, n_words: np.ndarray | None = None) -> np.ndarray:
+    """Inputs at the places around every word; the special word beyond the edges of its text (of `n_words` words)."""
+    n_words = np.array([len(inputs)]) if n_words is None else n_words
+    padded = np.full(len(inputs) + 2 * len(n_words) + 2, settings.inputs, np.int32)
+    at = np.arange(len(inputs)) + 2 * np.repeat(np.arange(1, len(n_words) + 1), n_words)
+    padded[at] = inputs
+    return padded[at[:, None] + np.array(PLACES)]
+
 
+def are_targets(n_words: np.ndarray, turn: int, settings: Settings) -> np.ndarray:
+    """For every word of texts of so many words, whether it is a target in a round."""
+    starts = np.repeat(np.cumsum(n_words) - n_words, n_words)
+    return (np.arange(int(n_words.sum())) - starts - np.repeat(n_words, n_words) - turn) % settings.masked == 0
 
-def neighbours(inputs: np.ndarray, settings: Settings) -> np.ndarray:
-    """Inputs at the places around every word; the special word beyond the edges."""
-    edge = np.full(2, settings.inputs, np.int32)
-    padded = np.concatenate((edge, inputs, edge))
-    n = len(inputs)
-    return np.stack([padded[2 + p : 2 + p + n] for p in PLACES], axis=1)
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the words of each chunk, and its texts' numbers of words."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            n_words, words, at = (batch.column(c)[k].values.to_numpy() for c in ("n_words", "words", "at"))
+            yield words.view(U64)[at], n_words
 
-def _trained(documents: DataFrame, start: np.ndarray, turn: int, settings: Settings) -> np.ndarray:
-    sent = documents.sparkSession.sparkContext.broadcast(start)
+
+def _trained(held: DataFrame, start: np.ndarray, turn: int, settings: Settings) -> np.ndarray:
+    sent = held.sparkSession.sparkContext.broadcast(start)
     size = len(start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = unflat(sent.value, settings)
         past = {k: np.full_like(v, 1e-4) for k, v in weights.items()}
-        around, target, held, words = [], [], 0, 0
-
-        def step():
-            nonlocal around, target, held
-            if held:
-                a, t = np.concatenate(around), np.concatenate(target)
-                for at in range(0, len(t), settings.batch):
-                    train_step(weights, past, a[at : at + settings.batch], t[at : at + settings.batch], settings)
-            around, target, held = [], [], 0
+        words = 0
 
         def message():
             values = flat(weights, settings).astype(np.float64) * words
@@ -207,27 +219,22 @@ def _trained(documents: DataFrame, start: np.ndarray, turn: int, settings: Setti
                 schema=pa.schema([("part", pa.int32()), ("vals", pa.list_(pa.float64()))]),
             )
 
-        for (text,) in W.rows(batches, "text"):
-            inputs, classes = encoded(text, settings)
+        for hashes, n_words in _held(batches):
             # another share of the words in every text and round
-            chosen = targets(len(inputs), turn, settings)
-            if len(classes[chosen]):
-                around.append(neighbours(inputs, settings)[chosen])
-                target.append(classes[chosen])
-                held += len(target[-1])
-            words += len(inputs)
-            if held >= 4 * settings.batch:
-                step()
+            chosen = are_targets(n_words, turn, settings)
+            around = neighbours(inputs_of(hashes, settings), settings, n_words)[chosen]
+            target = classes_of(hashes[chosen], settings)
+            for at in range(0, len(target), settings.batch):
+                train_step(weights, past, around[at : at + settings.batch], target[at : at + settings.batch], settings)
+            words += len(hashes)
             if words >= settings.send_after:
-                step()
                 yield message()
                 words = 0
-        step()
         if words:
             yield message()
 
     sums = (
-        documents.select("text")
+        held.select("n_words", "words", "at")
         .mapInArrow(run, "part int, vals array<double>")
         .select("part", F.posexplode("vals").alias("place", "value"))
         .groupBy("part", "place")
@@ -240,19 +247,26 @@ def _trained(documents: DataFrame, start: np.ndarray, turn: int, settings: Setti
 
 
 def fit(documents: DataFrame, settings: Settings = Settings()) -> np.ndarray:
+    return fit_words(words_of(documents, settings), settings)
+
+
+def fit_words(held: DataFrame, settings: Settings = Settings()) -> np.ndarray:
+    """Weights trained on the chunks of :func:`words_of`."""
     weights = flat(drawn(settings), settings).astype(np.float64)
     for turn in range(settings.rounds):
-        weights = _trained(documents, weights, turn, settings)
+        weights = _trained(held, weights, turn, settings)
     return weights
 
 
 def log_probabilities(text: str | None, weights: Weights, settings: Settings) -> np.ndarray:
     """Logarithm of the conditional probability of every word's class."""
-    return _log_probabilities(*encoded(text, settings), weights, settings)
+    hashes = word_hashes(text)
+    return _log_probabilities(hashes, np.array([len(hashes)]), weights, settings)
 
 
-def _log_probabilities(inputs: np.ndarray, classes: np.ndarray, weights: Weights, settings: Settings) -> np.ndarray:
-    around, out = neighbours(inputs, settings), [np.empty(0, np.float32)]
+def _log_probabilities(hashes: np.ndarray, n_words: np.ndarray, weights: Weights, settings: Settings) -> np.ndarray:
+    around, classes = neighbours(inputs_of(hashes, settings), settings, n_words), classes_of(hashes, settings)
+    out = [np.empty(0, np.float32)]
     for at in range(0, len(classes), settings.batch):
         *_, first, second = forward(weights, around[at : at + settings.batch], classes[at : at + settings.batch], settings)
         out.append(np.log(np.maximum(first * second, 1e-30)))
@@ -280,31 +294,29 @@ def score(documents: DataFrame, values: np.ndarray, settings: Settings = Setting
     return scored.withColumn("mean", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")))
 
 
-def chunked(documents: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
-    """Chunks of documents: words with their counts, and of every document its id, words and classes' log-probability.
+def words_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Chunks of documents: their words with counts, and of every document its id and number of words.
 
-    `at` has the place of every word of the chunk's texts among its words, which are in unsigned order.
+    `at` has the place of every word of the chunk's texts among its words, which are in unsigned order. Texts are read
+    and hashed here only; training and scoring go on from the chunks.
     """
-    sent = documents.sparkSession.sparkContext.broadcast(values)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = unflat(sent.value, settings)
-        ids, hashes, scores, held = [], [], [], 0
+        ids, hashes, held = [], [], 0
 
         def chunk():
-            nonlocal ids, hashes, scores, held
+            nonlocal ids, hashes, held
             words, at, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
             id_type = ids[0].type
             columns = {
                 "ids": (pa.concat_arrays(ids), id_type),
                 "n_words": ([len(x) for x in hashes], pa.int64()),
-                "scores": (scores, pa.float64()),
                 "words": (words.view(np.int64), pa.int64()),
                 "counts": (counts, pa.int64()),
                 "at": (at.astype(np.int32), pa.int32()),
             }
-            ids, hashes, scores, held = [], [], [], 0
+            ids, hashes, held = [], [], 0
             arrays = []
             for found, sort in columns.values():
                 flat_values = found if isinstance(found, pa.Array) else pa.array(found, sort)
@@ -314,22 +326,45 @@ def chunked(documents: DataFrame, values: np.ndarray, settings: Settings = Setti
         for batch in batches:
             texts = batch.column("text")
             for k in range(batch.num_rows):
-                found = word_hashes(texts[k].as_py())
-                logs = _log_probabilities((found % U64(settings.inputs)).astype(np.int32), classes_of(found, settings), weights, settings)
                 ids.append(batch.column("doc_id").slice(k, 1))
-                hashes.append(found)
-                scores.append(float(logs.sum(dtype=np.float64)))
-                held += len(found) + 1
+                hashes.append(word_hashes(texts[k].as_py()))
+                held += len(hashes[-1]) + 1
                 if held >= settings.chunk_words:
                     yield chunk()
         if ids:
             yield chunk()
 
-    shape = f"ids array<{kind}>, n_words array<long>, scores array<double>, words array<long>, counts array<long>, at array<int>"
+    shape = f"ids array<{kind}>, n_words array<long>, words array<long>, counts array<long>, at array<int>"
     chunks = documents.select("doc_id", "text").mapInArrow(run, shape)
     return materialize(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
 
 
+def with_scores(held: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
+    """Chunks with `scores`, the log-probability of the classes of every document's words."""
+    sent = held.sparkSession.sparkContext.broadcast(values)
+    columns = held.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights: Weights = {}
+        for batch in batches:
+            weights = weights or unflat(sent.value, settings)
+            for k in range(batch.num_rows):
+                part = batch.slice(k, 1)
+                ((hashes, n_words),) = _held(iter([part]))
+                logs = _log_probabilities(hashes, n_words, weights, settings)
+                sums = np.bincount(np.repeat(np.arange(len(n_words)), n_words), logs, len(n_words))
+                scores = pa.ListArray.from_arrays(pa.array([0, len(sums)], pa.int32()), pa.array(sums, pa.float64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], [*columns, "scores"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema)
+    return held.mapInArrow(run, f"{fields}, scores array<double>")
+
+
+def chunked(documents: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
+    """Chunks of documents with their scores, as one written table."""
+    return materialize(with_scores(words_of(documents, settings), values, settings), "scored-chunks")
+
+
 def vocabulary(chunks: DataFrame) -> DataFrame:
     """Every word of the chunks and its count."""
     each = chunks.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))

@@ -103,8 +103,9 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    chunks = lm_scoring.chunked(documents, lm_scoring.fit(documents))
-    return lm_scoring.score_words(chunks, lm_scoring.vocabulary(chunks))
+    held = lm_scoring.words_of(documents)
+    chunks = lm_scoring.with_scores(held, lm_scoring.fit_words(held))
+    return lm_scoring.score_words(chunks, lm_scoring.vocabulary(held))
 
 
 @query

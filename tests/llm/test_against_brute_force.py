@@ -172,6 +172,76 @@ def test_lm_scores_learn(spark):
     assert there > L.log_probabilities(" ".join(words), weights, s).mean()
 
 
+def test_lm_scores_against_a_plain_network(spark):
+    """Scores of a small corpus by loops over words, places and classes, written apart from the module."""
+    from collections import Counter
+    from math import exp, log, tanh
+
+    from ledgerlake.llm import lm_scoring as L
+
+    texts = ["a b c d e f g a b c", "b a", "", None, "solo", "g f e d c b a " * 30, "c c c c unseen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    s = L.Settings(groups=3, inputs=11, width=4, chunk_words=20)
+    held = L.words_of(docs, s)
+    values = L.fit_words(held, s)
+    w = {k: v.astype(float).tolist() for k, v in L.unflat(values, s).items()}
+
+    def softmax(xs):
+        es = [exp(x - max(xs)) for x in xs]
+        return [e / sum(es) for e in es]
+
+    def class_log(inputs, classes, i):
+        total = list(w["hidden"])
+        for k, place in enumerate((-2, -1, 1, 2)):
+            there = inputs[i + place] if 0 <= i + place < len(inputs) else s.inputs
+            total = [t + x * p for t, x, p in zip(total, w["words"][there], w["places"][k])]
+        hidden = [tanh(t) for t in total]
+        g, c = divmod(classes[i], s.groups)
+        first = softmax([sum(h * w["group"][d][j] for d, h in enumerate(hidden)) + w["group_bias"][j] for j in range(s.groups)])
+        gated = [h * x for h, x in zip(hidden, w["gate"][g])]
+        second = softmax([sum(h * w["inside"][d][j] for d, h in enumerate(gated)) + w["inside_bias"][g][j] for j in range(s.groups)])
+        return log(first[g] * second[c])
+
+    hashes = [[int(h) for h in L.word_hashes(t)] for t in texts]
+    counts = Counter(h for found in hashes for h in found)
+    in_class = Counter()
+    for h, n in counts.items():
+        in_class[(h >> 32) % 9] += n
+    scored = L.score_words(L.with_scores(held, values, s), L.vocabulary(held), s).collect()
+    assert len(scored) == len(texts)
+    for r in scored:
+        found = hashes[r.doc_id]
+        inputs, classes = [h % s.inputs for h in found], [(h >> 32) % 9 for h in found]
+        logs = [class_log(inputs, classes, i) + log(counts[h] / (in_class[c] + 1)) for i, (h, c) in enumerate(zip(found, classes))]
+        assert r.n_words == len(found) and r.score == pytest.approx(sum(logs), rel=1e-4, abs=1e-6)
+
+
+def test_lm_gradients_against_differences():
+    """A first step moves every weight by its slope, measured by small changes of the weight."""
+    import numpy as np
+
+    from ledgerlake.llm import lm_scoring as L
+
+    s = L.Settings(groups=3, inputs=6, width=4, rate=0.01)
+    pick = np.random.default_rng(5)
+    around, target = pick.integers(0, 7, (40, 4)).astype(np.int32), pick.integers(0, 9, 40).astype(np.int32)
+    start = {k: (pick.standard_normal(v) * 0.5).astype(np.float64) for k, v in s.shapes.items()}
+
+    def loss(weights):
+        *_, first, second = L.forward(weights, around, target, s)
+        return -np.log(first * second).mean()
+
+    moved, past = {k: v.copy() for k, v in start.items()}, {k: np.full_like(v, 1.0) for k, v in start.items()}
+    L.train_step(moved, past, around, target, s)
+    for name, values in start.items():
+        for at in list(np.ndindex(values.shape))[:30]:
+            up, down = ({k: v.copy() for k, v in start.items()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            assert values[at] - moved[name][at] == pytest.approx(s.rate * slope / np.sqrt(1 + slope * slope + 1e-8), abs=2e-6), (name, at)
+
+
 def test_registered_lm_settings_learn(spark):
     """With the parameters of the query, words are predicted better than by their frequencies, and shuffled ones worse."""
     import random
