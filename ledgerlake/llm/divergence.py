@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
 from ledgerlake.llm.scratch import Scratch
-from ledgerlake.session import fresh_path
+from ledgerlake.session import fresh_path, materialize
 
 #: Bytes of a term: ASCII letters and all bytes of other characters.
 _IS_LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)])
@@ -51,7 +51,7 @@ class Settings:
 
 
 def tokens(documents: DataFrame) -> DataFrame:
-    """lang, source, terms and distinct terms of every document, each behind its language and a blank.
+    """lang, source, distinct terms and their counts of every document, each term behind its language and a blank.
 
     No term has a blank, so language and term can be told apart. Terms are cut from the bytes of a few documents at a
     time, as Arrow arrays.
@@ -67,15 +67,15 @@ def tokens(documents: DataFrame) -> DataFrame:
         bounds = np.concatenate(([0], np.searchsorted(starts, ends))).astype(np.int32)
         owner = np.repeat(np.arange(len(held)), np.diff(bounds))
         words = pc.binary_join_element_wise(pa.array([x[0] for x in held]).take(pa.array(owner)), words, " ")
-        single = [words.slice(a, b - a).unique() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        widths = np.concatenate(([0], np.cumsum([len(x) for x in single]))).astype(np.int32)
+        found = [words.slice(a, b - a).value_counts() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        widths = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32))
         columns = [
             pa.array([x[0] for x in held]),
             pa.array([x[1] for x in held]),
-            pa.ListArray.from_arrays(pa.array(bounds), words),
-            pa.ListArray.from_arrays(pa.array(widths), pa.concat_arrays(single)),
+            pa.ListArray.from_arrays(widths, pa.concat_arrays([x.field("values") for x in found])),
+            pa.ListArray.from_arrays(widths, pa.concat_arrays([x.field("counts") for x in found]).cast(pa.int32())),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "terms", "single"])
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "single", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -89,7 +89,7 @@ def tokens(documents: DataFrame) -> DataFrame:
             yield packed(held)
 
     plain = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text"))
-    kinds = "lang string, source string, terms array<string>, single array<string>"
+    kinds = "lang string, source string, single array<string>, counts array<int>"
     return documents.select(*plain).mapInArrow(run, kinds)
 
 
@@ -105,7 +105,8 @@ def block_counts(held: DataFrame, settings: Settings) -> DataFrame:
     fitted.save(path)  # read back as a table, so that the terms are not sent one by one from the driver
     vocabulary = held.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
     vector = F.unwrap_udt("vector")
-    entries = fitted.transform(held).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+    terms = F.flatten(F.zip_with("single", "counts", F.array_repeat)).alias("terms")
+    entries = fitted.transform(held.select("source", terms)).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
     return group_sums(entries).join(vocabulary, "index").select("source", "term", "count")
 
 
@@ -187,8 +188,9 @@ def term_counts(held: DataFrame, scratch: Scratch, settings: Settings) -> DataFr
     for block in range(blocks):
         part = held
         if blocks > 1:
-            for column in ("terms", "single"):
-                part = part.withColumn(column, F.filter(column, lambda t: F.pmod(F.xxhash64(t), F.lit(blocks)) == block))
+            mine = F.filter(F.arrays_zip("single", "counts"), lambda t: F.pmod(F.xxhash64(t["single"]), F.lit(blocks)) == block)
+            part = held.select("lang", "source", mine.alias("mine"))
+            part = part.select("lang", "source", F.col("mine.single").alias("single"), F.col("mine.counts").alias("counts"))
         found = block_counts(part, settings)
         lang = F.regexp_extract("term", r"(?s)^(.*) [^ ]+$", 1)
         found = found.select(lang.alias("lang"), "source", F.substring_index("term", " ", -1).alias("term"), "count")
@@ -234,7 +236,7 @@ def pair_values(groups: DataFrame, found: DataFrame) -> DataFrame:
 def audit(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """lang, source, part (`pair` or `term`), item, value and rank."""
     scratch = Scratch(documents.sparkSession)
-    held = scratch.write("terms", tokens(documents))
+    held = materialize(tokens(documents), "terms")
     counts = term_counts(held, scratch, settings)
     per_lang = counts.groupBy("lang", "term").agg(F.sum("count").alias("count"))
     sizes = per_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("count").alias("lang_total"))
