@@ -1,8 +1,11 @@
 """Removal of long strings that occur more than once, by refining buckets of positions.
 
 A string of `length` bytes is told by the buckets of its two halves: positions that start with equal halves share a
-bucket, and a bucket is refined by the bucket identifier found half a length further on. Identifiers are 64-bit
-hashes of the bytes, and two of them together tell strings apart. Only positions that can matter are refined:
+bucket, and a bucket is refined by the bucket identifier found half a length further on. The halves' buckets come from
+the same refinement: buckets of 25-byte grams, refined by the identifiers 25, 50 and 100 bytes further on, each round
+reusing the last one's. Identifiers are 64-bit hashes, not ranks, so equal strings of different texts have the same one
+without a sort of all positions, and two of them together tell strings apart. Only positions that can matter are
+refined to the full length:
 
 1. Every string of `length` bytes has one anchor, the leftmost of its halves with the least identifier, which equal
    strings have at the same place. The strings of one anchor are a run of starts. Runs fall into buckets by their
@@ -48,8 +51,22 @@ class Settings:
         return self.length // 2
 
 
-def bucket_ids(data: np.ndarray, size: int) -> np.ndarray:
-    """Identifier of the string of `size` bytes at every position."""
+def bucket_ids(data: np.ndarray, size: int, least: int = 32) -> np.ndarray:
+    """Identifier of the string of `size` bytes at every position.
+
+    Buckets of short strings (of `size` halved down to `least` or to an odd length) are refined by the identifiers of
+    the same round at the later offset, and each round's identifiers are the next one's, until they stand for `size`.
+    """
+    if len(data) < size:
+        return np.empty(0, U64)
+    if size > least and size % 2 == 0:
+        ids = bucket_ids(data, size // 2, least)
+        return refined(ids, slice(len(ids) - size // 2), size // 2)
+    return gram_ids(data, size)
+
+
+def gram_ids(data: np.ndarray, size: int) -> np.ndarray:
+    """Initial buckets: a hash of the `size` bytes at every position."""
     power, inverse = W._grow(len(data))
     total = np.zeros(len(data) + 1, U64)
     np.cumsum(W._BYTE_VALUES[data] * power[: len(data)], out=total[1:])
@@ -57,9 +74,10 @@ def bucket_ids(data: np.ndarray, size: int) -> np.ndarray:
     return W.mix((total[size:] - total[:n]) * inverse[:n])
 
 
-def refined(ids: np.ndarray, at: np.ndarray, further: int) -> np.ndarray:
-    """Buckets of the positions, refined by the buckets `further` on."""
-    return W.mix(ids[at] * U64(3) + ids[at + further])
+def refined(ids: np.ndarray, at: np.ndarray | slice, further: int) -> np.ndarray:
+    """Buckets of the positions (a slice: as many from the first on), refined by the buckets `further` on."""
+    later = slice(further, at.stop + further) if isinstance(at, slice) else at + further
+    return W.mix(ids[at] * U64(3) + ids[later])
 
 
 def leftmost_least(ids: np.ndarray, width: int) -> np.ndarray:
@@ -229,7 +247,8 @@ def repeats(documents: DataFrame, settings: Settings, scratch: Scratch) -> DataF
     single = strings.join(counts, ["bucket", "string"], "left_semi").select("k1", "k2", "start", F.lit(1).alias("n"))
 
     spans = whole.union(equal).union(whole_blocks).union(single)
-    packed = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    # rows alike in id and text find the same spans: each is held once
+    packed = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "n")).alias("found"))
     packed = scratch.write("spans", packed)
     scratch.drop("several", "names", "again", "strings", "counts")
     return packed

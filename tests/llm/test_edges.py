@@ -127,6 +127,31 @@ def test_suffix_dedup_at_every_offset(spark, monkeypatch):
         assert starts == list(range(max(0, len(data) - 23)))
 
 
+def test_suffix_dedup_of_many_equal_rows(spark):
+    """500 rows alike in id and text: the spans found are those of one of them."""
+    from ledgerlake.llm.scratch import Scratch
+
+    text = words(120, 70)
+    rows = [(1, text)] * 500 + [(2, text[:700])]
+    docs = frame(spark, rows).repartition(4)
+    found = suffix_dedup.repeats(docs.select("doc_id", "text"), suffix_dedup.Settings(), Scratch(spark))
+    most = max(len(r.found) for r in found.collect())
+    assert most <= len(text)
+    columns = "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    assert same(suffix_dedup.remove_repeats(docs), *columns) == brute.repeats(rows, 400)
+
+
+def test_buckets_are_refined_in_rounds():
+    import numpy as np
+
+    data = np.frombuffer(("ab" * 300 + words(100, 71) + "ab" * 300).encode(), np.uint8)
+    for size in (5, 24, 64, 200):
+        ids = suffix_dedup.bucket_ids(data, size).tolist()
+        strings = [data[k : k + size].tobytes() for k in range(len(data) - size + 1)]
+        assert len(ids) == len(strings) and len(set(zip(ids, strings))) == len(set(ids)) == len(set(strings))
+    assert len(suffix_dedup.bucket_ids(data[:10], 200)) == 0
+
+
 def test_near_dedup(docs):
     found = same(near_dedup.classes(docs), "doc_id", "n_shingles", "component_id", "kept")
     assert sorted(found) == brute.near(TEXTS)
