@@ -37,6 +37,7 @@ COLUMNS: dict[str, tuple[list[str], list[str]]] = {
     "f17_code_lookup": ([], ["income"]),
     "f20_f22_date_text": (["day"], []),
     "w12_with_next": ([], ["next_key"]),
+    "w12_with_next_quantiles": ([], ["next_id"]),
 }
 
 

@@ -14,6 +14,9 @@ def money(col: str):
     return F.col(col).cast("decimal(18,2)")
 
 
+#: Rows of a chunk where a window is cut at quantiles; the hottest key decides how many chunks there are.
+PER_CHUNK = 100_000
+
 @check("w1_latest_per_key", f"SELECT * EXCLUDE (rn) FROM (SELECT *, {LAST} AS rn FROM orders) WHERE rn = 1")
 def _(t):
     return latest.latest_per_key(t.orders, "o_custkey", ["o_orderdate", "o_orderkey"])
@@ -173,6 +176,36 @@ def _(t):
     return out.select("o_orderkey", "next_day", "next_key")
 
 
+@check("w3_rank_both_quantiles", """SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY CASE WHEN value < 90 THEN props END DESC NULLS LAST, event_id DESC) AS rn,
+               row_number() OVER (PARTITION BY event_type ORDER BY CASE WHEN value < 90 THEN props END NULLS LAST, event_id) AS rn_first FROM events""")
+def _(t):
+    """Few keys, an order column of many nulls and ties: chunks are cut at quantiles."""
+    rows = t.events.select("event_id", "event_type", F.when(F.col("value") < 90, F.col("props")).alias("tag"))
+    ranked = windows.rank_both(rows, "event_type", ["tag", "event_id"], rows_per_chunk=PER_CHUNK)
+    return ranked.select("event_id", "rn", "rn_first")
+
+
+@check(
+    "w10_running_sum_quantiles",
+    f"""SELECT o_orderkey, CAST(sum({dec('o_totalprice')}) OVER (PARTITION BY o_orderpriority
+          ORDER BY CASE WHEN o_orderstatus <> 'F' THEN o_orderdate END NULLS LAST, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running FROM orders""",
+)
+def _(t):
+    day = F.when(F.col("o_orderstatus") != "F", F.col("o_orderdate")).alias("day")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", day, money("o_totalprice").alias("amount"))
+    out = windows.running_sum(rows, "o_orderpriority", ["day", "o_orderkey"], "amount", "running", rows_per_chunk=PER_CHUNK)
+    return out.select("o_orderkey", F.col("running").cast("double").alias("running"))
+
+
+@check(
+    "w12_with_next_quantiles",
+    """SELECT event_id, lead(event_id) OVER (PARTITION BY event_type ORDER BY CASE WHEN value < 90 THEN props END NULLS LAST, event_id) AS next_id FROM events""",
+)
+def _(t):
+    rows = t.events.select("event_id", "event_type", F.when(F.col("value") < 90, F.col("props")).alias("tag"))
+    return windows.with_next(rows, "event_type", ["tag", "event_id"], {"event_id": "next_id"}, rows_per_chunk=PER_CHUNK).select("event_id", "next_id")
+
+
 @check(
     "w13_first_last_value",
     """SELECT o_orderkey, first_value(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS first_status,

@@ -4,6 +4,10 @@ Running values are computed inside (key, chunk of the order column); the chunk t
 per key and chunk, carry the offset from one chunk to the next. Totals over a whole key are a partial
 aggregate joined back, so adaptive skew handling can split the hot side. Both read their input twice (rows
 and totals): after an expensive step, store the rows first (``session.materialize``).
+
+Chunks are of a fixed ``grain`` of the first order column, in one lazy plan, or, with ``rows_per_chunk``, cut at
+quantiles of each key's rows: then rows without an order value and ties are divided too, the rows are stored first,
+and columns of any order type will do.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.chunks import ROW, by_quantiles, stored
 from ledgerlake.operators.ordering import Names, ascending, descending, group_key, names
 
 
@@ -44,9 +49,14 @@ def running_sum(
     value: str,
     out: str,
     grain: str | float = "month",
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to this row (row frame, nulls last)."""
-    rows = _chunked(df, keys, order_by[0], grain)
+    if rows_per_chunk:
+        rows = by_quantiles(stored(df), keys, order_by, rows_per_chunk)
+        order_by = [*order_by, ROW]
+    else:
+        rows = _chunked(df, keys, order_by[0], grain)
     inside = W.partitionBy("_grp").orderBy(*ascending(order_by)).rowsBetween(W.unboundedPreceding, 0)
     before = (
         _chunk_window(keys)
@@ -61,7 +71,7 @@ def running_sum(
     summed = rows.withColumn("_run", F.sum(value).over(inside))
     joined = summed.join(offsets, "_grp", "left")
     total = F.coalesce(F.col("_run") + F.col("_before"), F.col("_run"), F.col("_before"))
-    return joined.withColumn(out, total).drop("_grp", "_run", "_before")
+    return joined.withColumn(out, total).drop("_grp", "_run", "_before", ROW)
 
 
 def row_numbers(
@@ -71,8 +81,11 @@ def row_numbers(
     first: str | None = None,
     last: str | None = None,
     grain: str | float = "month",
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Full row numbers per key, ascending (``first``) and / or descending (``last``), nulls last."""
+    if rows_per_chunk:
+        return _numbered_by_quantiles(stored(df), keys, order_by, first, last, rows_per_chunk).drop(ROW)
     rows = _chunked(df, keys, order_by[0], grain)
     counts = rows.groupBy("_grp").agg(F.count(F.lit(1)).alias("_n"))
     per_key = _chunk_window(keys)
@@ -98,9 +111,29 @@ def row_numbers(
     return joined.drop("_grp", "_first", "_last", "_up", "_down")
 
 
-def rank_both(df: DataFrame, keys: Names, order_by: Sequence[str], grain: str | float = "month") -> DataFrame:
+def _numbered_by_quantiles(
+    rows: DataFrame, keys: Names, order_by: Sequence[str], first: str | None, last: str | None, rows_per_chunk: int
+) -> DataFrame:
+    """Each direction has chunks of its own: with nulls last in both, neither is the other one reversed."""
+    for out, down in ((first, False), (last, True)):
+        if not out:
+            continue
+        cut = by_quantiles(rows, keys, order_by, rows_per_chunk, down)
+        counts = cut.groupBy("_grp").agg(F.count(F.lit(1)).alias("_n"))
+        before = _chunk_window(keys).orderBy("_grp._chunk").rowsBetween(W.unboundedPreceding, -1)
+        offsets = counts.select("_grp", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        order = [*(descending if down else ascending)(order_by), F.col(ROW)]
+        numbered = cut.withColumn("_inside", F.row_number().over(W.partitionBy("_grp").orderBy(*order)))
+        joined = numbered.join(offsets, "_grp", "left").withColumn(out, F.col("_inside") + F.col("_before"))
+        rows = joined.drop("_grp", "_inside", "_before")
+    return rows
+
+
+def rank_both(
+    df: DataFrame, keys: Names, order_by: Sequence[str], grain: str | float = "month", rows_per_chunk: int | None = None
+) -> DataFrame:
     """First and last rank side by side, as ``rn_first`` and ``rn``."""
-    return row_numbers(df, keys, order_by, first="rn_first", last="rn", grain=grain)
+    return row_numbers(df, keys, order_by, first="rn_first", last="rn", grain=grain, rows_per_chunk=rows_per_chunk)
 
 
 def with_next(
@@ -109,9 +142,14 @@ def with_next(
     order_by: Sequence[str],
     columns: Mapping[str, str],
     grain: str | float = "month",
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """Values of the next row of the key: ``columns`` maps source column to output name."""
-    rows = _chunked(df, keys, order_by[0], grain)
+    if rows_per_chunk:
+        rows = by_quantiles(stored(df), keys, order_by, rows_per_chunk)
+        order_by = [*order_by, ROW]
+    else:
+        rows = _chunked(df, keys, order_by[0], grain)
     packed = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
     inside = W.partitionBy("_grp").orderBy(*ascending(order_by))
     # the first row of every chunk is what the last row of the chunk before it needs
@@ -126,7 +164,7 @@ def with_next(
     joined = led.join(following, "_grp", "left").withColumn("_next", F.coalesce("_next", "_following"))
     for i, out in enumerate(columns.values()):
         joined = joined.withColumn(out, F.col(f"_next.c{i}"))
-    return joined.drop("_grp", "_next", "_following")
+    return joined.drop("_grp", "_next", "_following", ROW)
 
 
 def with_group_totals(df: DataFrame, keys: Names, aggregates: Mapping[str, Column]) -> DataFrame:

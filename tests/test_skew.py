@@ -131,3 +131,59 @@ def test_string_agg_counts_repeats(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "z"), ("b", None), ("b", "y")], "k string, s string")
     assert rows(aggregate.string_agg_ordered(df, "k", "s", "t")) == [("a", "z, x, x"), ("b", "y")]
     assert rows(aggregate.string_agg_ordered(df, "k", "s", "t", distinct=True)) == [("a", "z, x"), ("b", "y")]
+
+
+@pytest.fixture(scope="module")
+def tied(spark):
+    """A hot key whose order values are a third null and a third equal; some rows are alike in every column."""
+    rng = random.Random(11)
+    data = []
+    for i in range(2000):
+        key = "hot" if i % 5 else rng.choice(["a", None])
+        ts = (None, START, START + dt.timedelta(hours=rng.randrange(500)))[i % 3]
+        data.append((key, ts, rng.choice([None, "x", "y"]), 1 if i < 50 else i))
+    return data, spark.createDataFrame(data, "k string, ts timestamp, tag string, v int").repartition(5)
+
+
+def in_order(group, down=False):
+    """Rows by ts and tag, nulls last in both directions."""
+    for at in (2, 1):
+        present = [r for r in group if r[at] is not None]
+        group = sorted(present, key=lambda r: r[at], reverse=down) + [r for r in group if r[at] is None]
+    return group
+
+
+def test_quantile_chunks_divide_nulls_and_ties(tied):
+    from ledgerlake.operators import chunks
+
+    data, df = tied
+    for down in (False, True):
+        cut = chunks.by_quantiles(chunks.stored(df), "k", ["ts", "tag"], 64, down)
+        sizes = {tuple(r["_grp"]): r["n"] for r in cut.groupBy("_grp").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert sum(sizes.values()) == 2000 and max(sizes.values()) < 6 * 64
+        assert len([1 for k, _ in sizes if k == "hot"]) > 10
+
+
+@pytest.mark.parametrize("per_chunk", [40, 100_000])
+def test_windows_by_quantiles_against_brute_force(tied, per_chunk):
+    """Rows equal in all order values may come in any order: compare what is the same in each."""
+    data, df = tied
+    ranked = windows.rank_both(df, "k", ["ts", "tag"], rows_per_chunk=per_chunk).collect()
+    for key in ("hot", "a", None):
+        group = [r for r in data if r[0] == key]
+        for name, down in (("rn_first", False), ("rn", True)):
+            mine = sorted((r for r in ranked if r["k"] == key), key=lambda r: r[name])
+            assert [r[name] for r in mine] == list(range(1, len(group) + 1))
+            assert [(r["ts"], r["tag"]) for r in mine] == [(r[1], r[2]) for r in in_order(group, down)]
+    # with the value as the last order column every order is the same but for equal rows
+    total = windows.running_sum(df, "k", ["ts", "tag", "v"], "v", "run", rows_per_chunk=per_chunk).collect()
+    following = windows.with_next(df, "k", ["ts", "tag", "v"], {"v": "next"}, rows_per_chunk=per_chunk).collect()
+    for key in ("hot", "a", None):
+        group = in_order(sorted((r for r in data if r[0] == key), key=lambda r: r[3]))
+        sums, run = [], 0
+        for r in group:
+            run += r[3]
+            sums.append((r[3], run))
+        assert sorted((r["v"], r["run"]) for r in total if r["k"] == key) == sorted(sums)
+        nexts = [(a[3], b[3] if b else None) for a, b in zip(group, [*group[1:], None])]
+        assert sorted(((r["v"], r["next"]) for r in following if r["k"] == key), key=repr) == sorted(nexts, key=repr)
