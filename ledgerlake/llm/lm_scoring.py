@@ -371,8 +371,13 @@ def vocabulary(chunks: DataFrame) -> DataFrame:
     return materialize(each.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")), "vocabulary")
 
 
-def score_words(chunks: DataFrame, vocabulary: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_words, score (summed log-probabilities of words) and mean of every document of the chunks."""
+def score_words(
+    chunks: DataFrame, vocabulary: DataFrame, settings: Settings = Settings(), held: DataFrame | None = None
+) -> DataFrame:
+    """doc_id, n_words, score (summed log-probabilities of words) and mean of every document of the chunks.
+
+    `held`: the written chunks without scores; words are asked for from there, so that scores are made once.
+    """
     classes = settings.groups**2
     totals = np.ones(classes)  # one more for words that the corpus does not hold
     of = F.expr(f"shiftrightunsigned(word, 32) % {classes}").alias("class")
@@ -396,7 +401,7 @@ def score_words(chunks: DataFrame, vocabulary: DataFrame, settings: Settings = S
                     total = total + np.bincount(which, logs[at.to_numpy()], len(n_words))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_words", "score"])
 
-    asked = chunks.select("chunk", F.explode("words").alias("word"))
+    asked = (chunks if held is None else held).select("chunk", F.explode("words").alias("word"))
     known = asked.join(vocabulary.hint("merge"), "word", "left").select("chunk", F.struct("word", F.coalesce("n", F.lit(0)).alias("n")).alias("x"))
     found = known.groupBy("chunk").agg(F.collect_list("x").alias("found"))
     joined = chunks.drop("words", "counts").hint("merge").join(found, "chunk", "left")

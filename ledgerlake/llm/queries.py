@@ -105,7 +105,7 @@ def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     held = lm_scoring.words_of(documents)
     chunks = lm_scoring.with_scores(held, lm_scoring.fit_words(held))
-    return lm_scoring.score_words(chunks, lm_scoring.vocabulary(held))
+    return lm_scoring.score_words(chunks, lm_scoring.vocabulary(held), held=held)
 
 
 @query

@@ -207,7 +207,7 @@ def test_lm_scores_against_a_plain_network(spark):
     in_class = Counter()
     for h, n in counts.items():
         in_class[(h >> 32) % 9] += n
-    scored = L.score_words(L.with_scores(held, values, s), L.vocabulary(held), s).collect()
+    scored = L.score_words(L.with_scores(held, values, s), L.vocabulary(held), s, held).collect()
     assert len(scored) == len(texts)
     for r in scored:
         found = hashes[r.doc_id]
