@@ -22,6 +22,15 @@ def _(t):
     return incremental.high_watermark(t.events, "ts").withColumn("from_text", from_text)
 
 
+@check("n1_watermark_of_table", "SELECT max(ts) AS by_day, max(event_id) AS by_statistics FROM events")
+def _(t):
+    """The newest day only, and the files' statistics only."""
+    path = fresh_path(t.spark, "history")
+    sinks.land(t.events.select("event_id", "ts", F.date_format("ts", "yyyyMMdd").alias("date")), path)
+    marks = incremental.high_watermark_of(t.spark, path, "ts", "date"), incremental.high_watermark_of(t.spark, path, "event_id")
+    return t.spark.createDataFrame([marks], "by_day timestamp_ntz, by_statistics bigint")
+
+
 @check(
     "n2_delta",
     """SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15' AND event_type <> 'error'""",
@@ -173,6 +182,22 @@ def _(t):
     )
 
 
+@check(
+    "q5_validate_contents",
+    "SELECT true AS shuffled, false AS one_cell, false AS twice, count(*) AS rows FROM customer",
+)
+def _(t):
+    """A copy in another order of rows and columns passes; one changed cell, or one row in place of another, does not."""
+    rows = t.customer
+    last = rows.agg(F.max("c_custkey")).scalar()
+    shuffled = rows.repartition(7, "c_name").select(*reversed(rows.columns))
+    one_cell = rows.withColumn("c_acctbal", F.when(F.col("c_custkey") == last, F.col("c_acctbal") + 0.01).otherwise(F.col("c_acctbal")))
+    twice = rows.filter(F.col("c_custkey") != last).unionByName(rows.filter(F.col("c_custkey") == last - 1))
+    verdicts = [quality.validate_copy(rows, copy) for copy in (shuffled, one_cell, twice)]
+    found = (*(v["ok"] for v in verdicts), verdicts[2]["rows"][1])
+    return t.spark.createDataFrame([found], "shuffled boolean, one_cell boolean, twice boolean, rows bigint")
+
+
 @check("q6_check_partitions", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
     quality.check_partitions(t.orders, ["o_orderstatus", "o_orderdate"])
@@ -192,6 +217,17 @@ def _(t):
     return quality.with_global_match(rows, "positive")
 
 
+@check("q8_equal_contents", "SELECT c_custkey, true AS copied, false AS changed FROM customer")
+def _(t):
+    """The verdict over whole tables, as a column on every row."""
+    path = fresh_path(t.spark, "copy")
+    sinks.land(t.customer, path, "overwrite", ())
+    copy = t.spark.read.parquet(path)
+    changed = copy.withColumn("c_name", F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")))
+    rows = quality.with_equal_contents(t.customer, copy, "copied")
+    return rows.withColumn("changed", F.lit(quality.same_contents(t.customer, changed)[0])).select("c_custkey", "copied", "changed")
+
+
 def event_stream(t):
     return landing.stream_files(t.spark, t.folder, t.events.schema, glob="events.parquet")
 

@@ -12,6 +12,7 @@ from ledgerlake.functions.dates import parse_ts_multi
 from ledgerlake.operators.conform import add_meta, apply_schema
 from ledgerlake.operators.latest import latest_per_key
 from ledgerlake.operators.ordering import Names
+from ledgerlake.sources.files import names_in
 from ledgerlake.sources.sinks import land
 
 
@@ -22,6 +23,26 @@ def high_watermark(df: DataFrame, field: str) -> DataFrame:
     return df.agg(F.max(value).alias("high_watermark"))
 
 
+def high_watermark_of(spark: SparkSession, path: str, field: str, day: str | None = None) -> object | None:
+    """The newest change time of a Parquet table, without a scan of the table.
+
+    ``day`` names the partition column that follows the change time, as :func:`append_delta` writes it: only the
+    newest day that has a value is read. Without it, whole numbers and dates come from the files' statistics, and
+    only other types are read in full.
+    """
+    if day is not None:
+        for name in reversed([n for n in names_in(spark, path) if n.startswith(f"{day}=")]):
+            mark = high_watermark(spark.read.parquet(f"{path}/{name}"), field).first()["high_watermark"]
+            if mark is not None:
+                return mark
+        return None
+    # this reader takes the maximum from the footers; the settings stay in a session of their own
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.useV1SourceList", "")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return high_watermark(apart.read.parquet(path), field).first()["high_watermark"]
+
+
 def delta(
     df: DataFrame,
     field: str,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.dates import date_parts
 from ledgerlake.operators.joins import full_compare
@@ -46,14 +47,64 @@ def date_profile(df: DataFrame, col: str, keep: Sequence[str]) -> DataFrame:
     return date_parts(df.select(*keep, col), col)
 
 
+def _hashable(col: Column, kind: T.DataType) -> list[Column]:
+    """Columns that hash by content: maps as sorted entries, and a flag beside each value, as a null leaves a hash as it is."""
+    if isinstance(kind, T.MapType):
+        pair = lambda x: F.struct(x["key"], *_hashable(x["value"], kind.valueType))
+        value = F.transform(F.array_sort(F.map_entries(col)), pair)
+    elif isinstance(kind, T.ArrayType):
+        value = F.transform(col, lambda x: F.struct(*_hashable(x, kind.elementType)))
+    elif isinstance(kind, T.StructType):
+        value = F.struct(*[c for f in kind.fields for c in _hashable(col[f.name], f.dataType)])
+    else:
+        value = col
+    return [value, col.isNull()]
+
+
+def fingerprint(df: DataFrame, as_text: Sequence[str] = ()) -> DataFrame:
+    """One row that tells contents apart: number of rows and two sums of row hashes.
+
+    The order of rows and columns, and the case of column names, do not count; repeated rows do. Columns in
+    ``as_text`` (trimmed, lower case) are compared as text.
+    """
+    fields = sorted(df.schema.fields, key=lambda f: f.name.strip().lower())
+    cells = []
+    for f in fields:
+        col = F.col(f"`{f.name}`")
+        text = f.name.strip().lower() in as_text
+        cells += _hashable(col.cast("string"), T.StringType()) if text else _hashable(col, f.dataType)
+    number = lambda c: F.coalesce(F.sum(c.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        number(F.xxhash64(*cells) if cells else F.lit(0)).alias("sum_a"),
+        number(F.xxhash64(F.lit("second"), *cells)).alias("sum_b"),
+    )
+
+
+def same_contents(a: DataFrame, b: DataFrame) -> tuple[bool, tuple[int, int]]:
+    """Whether two frames hold the same rows in any order, and their numbers of rows; one aggregate a side.
+
+    Columns whose types differ are compared as text.
+    """
+    kinds = [{f.name.strip().lower(): f.dataType for f in df.schema.fields} for df in (a, b)]
+    differ = [c for c in kinds[0] if c in kinds[1] and kinds[0][c] != kinds[1][c]]
+    one, two = (fingerprint(df, differ).first() for df in (a, b))
+    return kinds[0].keys() == kinds[1].keys() and one == two, (one["rows"], two["rows"])
+
+
+def with_equal_contents(df: DataFrame, other: DataFrame, out: str = "all_match") -> DataFrame:
+    """The verdict whether ``df`` holds the same rows as ``other`` as a column."""
+    return df.withColumn(out, F.lit(same_contents(df, other)[0]))
+
+
 def validate_copy(a: DataFrame, b: DataFrame) -> dict[str, object]:
-    """Row counts and column sets (trimmed, lower case) of a copied table."""
+    """Row counts, column sets (trimmed, lower case) and contents of a copied table."""
     def columns(df: DataFrame) -> list[str]:
         return sorted(c.strip().lower() for c in df.columns)
 
-    rows = (a.count(), b.count())
-    same = rows[0] == rows[1] and columns(a) == columns(b)
-    return {"ok": same, "rows": rows, "columns": (columns(a), columns(b))}
+    contents, rows = same_contents(a, b)
+    same = rows[0] == rows[1] and columns(a) == columns(b) and contents
+    return {"ok": same, "rows": rows, "columns": (columns(a), columns(b)), "contents": contents}
 
 
 def check_partitions(df: DataFrame, columns: Sequence[str]) -> None:

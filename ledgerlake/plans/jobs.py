@@ -50,7 +50,8 @@ def csv_to_parquet(spark: SparkSession, src: str, dst: str, archive: str | None
         {c: F.col(c).try_cast(k) if k == "boolean" else try_number(c, k) for c, k in numbers.items()}
     )
     land(typed, dst, "overwrite", partition_by=())
-    verdict = validate_copy(data, spark.read.parquet(dst))
+    # what was meant to be written against what can be read
+    verdict = validate_copy(typed, spark.read.parquet(dst))
     if not verdict["ok"]:
         log.warning("copy of %s does not match: %s", src, verdict)
         return verdict

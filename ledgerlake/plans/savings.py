@@ -77,6 +77,9 @@ def savings_accounts(tables: Tables, today: dt.date, since: dt.date = SINCE) ->
     postings = account_postings(tables["deposit_transactions"], month_end, since)
 
     modified = iso_ts("last_modified_date")
+    # rows of one time are told apart by their values, so state and balance come from one of them
+    newest = F.when(modified.isNotNull(), F.struct(modified, "account_state", "balances_total_balance"))
+    oldest = F.when(modified.isNotNull(), F.struct(modified, iso_ts("activation_date")))
     accounts = history.groupBy(
         "account_holder_key",
         F.col("encoded_key").alias("ias_encoded_key"),
@@ -84,9 +87,9 @@ def savings_accounts(tables: Tables, today: dt.date, since: dt.date = SINCE) ->
         F.col("name").alias("ias_account_name"),
         F.col("currency_code").alias("ias_currency_code"),
     ).agg(
-        F.min_by(iso_ts("activation_date"), modified).cast("date").alias("ias_open_date"),
-        F.max_by("account_state", modified).alias("ias_account_state"),
-        F.max_by("balances_total_balance", modified).alias("balance"),
+        F.min_by(iso_ts("activation_date"), oldest).cast("date").alias("ias_open_date"),
+        F.max_by("account_state", newest).alias("ias_account_state"),
+        F.max_by("balances_total_balance", newest).alias("balance"),
     )
     owned = materialize(
         accounts.join(clients, "account_holder_key")

@@ -165,3 +165,25 @@ def test_slices_are_small_and_complete(spark):
     assert sum(r["rows"] for r in out) == 700 and all(r["rows"] < 50 for r in out)
     ordered = sorted(out, key=lambda r: r["slice_start"])
     assert all(a["slice_end"] <= b["slice_start"] for a, b in zip(ordered, ordered[1:]))
+
+
+def test_fingerprint_sees_contents_and_not_order(spark):
+    from ledgerlake.operators import quality
+
+    kind = "id int, name string, m map<string,int>, s struct<x:int,y:array<string>>"
+    data = [(1, "a", {"p": 1, "q": None}, (1, ["u", None])), (2, None, None, None), (2, None, None, None), (3, "", {}, (None, []))]
+    rows = spark.createDataFrame(data, kind)
+    turned = [(i, n, dict(reversed(m.items())) if m else m, s) for i, n, m, s in reversed(data)]
+    other = spark.createDataFrame(turned, kind).repartition(3).select("s", "m", F.col("name").alias(" NAME"), "id")
+    assert quality.same_contents(rows, other) == (True, (4, 4))
+    for at, value in ((0, (1, "a", {"p": 1, "q": 0}, (1, ["u", None]))), (1, (2, "", None, None)), (3, (3, "", None, (None, []))), (3, (3, "", {}, None)), (0, (1, "a", {"p": 1, "q": None}, (1, [None, "u"])))):
+        changed = [*data]
+        changed[at] = value
+        assert quality.same_contents(rows, spark.createDataFrame(changed, kind))[0] is False, value
+    # another type: compared as text; another set of columns is another table
+    assert quality.same_contents(rows.select("id"), rows.select(F.col("id").cast("string")))[0]
+    assert not quality.same_contents(rows.select("id"), rows.select(F.col("id").alias("no")))[0]
+    assert quality.same_contents(rows.limit(0), other.limit(0)) == (True, (0, 0))
+    # values that move to the next column change the sums
+    two = "a string, b string"
+    assert not quality.same_contents(spark.createDataFrame([("x", None)], two), spark.createDataFrame([(None, "x")], two))[0]

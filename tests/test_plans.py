@@ -55,3 +55,32 @@ def test_global_window_is_a_scalar_not_one_task(spark):
     part = Tables(spark, FOLDER).part
     text = plan(windows.with_global(part, {"top": F.max("p_size")}))
     assert "Window" not in text and "Subquery" in text
+
+
+def test_watermark_of_a_table_comes_from_statistics_or_the_newest_day(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from ledgerlake.operators import incremental
+
+    path = str(tmp_path / "t")
+    rows = spark.sql("SELECT id, date'2024-01-01' + cast(id % 5 AS int) AS d, timestamp'2024-01-01' + make_interval(0,0,0,cast(id % 5 AS int)) AS ts FROM range(100)")
+    rows.withColumn("date", F.date_format("d", "yyyyMMdd")).write.partitionBy("date").parquet(path)
+    plans, files = [], []
+    plain = incremental.high_watermark
+
+    def seen(df, field):
+        found = plain(df, field)
+        plans.append(plan(found))
+        files.append(df.inputFiles())
+        return found
+
+    monkeypatch.setattr(incremental, "high_watermark", seen)
+    assert incremental.high_watermark_of(spark, path, "id") == 99
+    assert incremental.high_watermark_of(spark, path, "d") == dt.date(2024, 1, 5)
+    assert "PushedAggregation: [MAX(id)]" in plans[0] and "PushedAggregation: [MAX(d)]" in plans[1]
+    assert incremental.high_watermark_of(spark, path, "ts", "date") == dt.datetime(2024, 1, 5)
+    assert len(files) == 3 and files[2] and all("date=20240105" in name for name in files[2])
+    # a newest day without any change time is passed over
+    spark.sql("SELECT 1L AS id, cast(NULL AS date) AS d, cast(NULL AS timestamp) AS ts, '20240109' AS date").write.mode("append").partitionBy("date").parquet(path)
+    assert incremental.high_watermark_of(spark, path, "ts", "date") == dt.datetime(2024, 1, 5)
+    assert incremental.high_watermark_of(spark, str(tmp_path / "none"), "ts", "date") is None

@@ -182,6 +182,30 @@ def test_savings(spark, clients):
     assert (two["customer_active_currency_tier_name"], two["ias_usd_is_open"]) == ("Not Active", 0)
 
 
+def test_savings_of_tied_rows(spark, clients):
+    """Two versions of one time: state and balance come from one of them, whatever the order of the rows."""
+    name = "GBP Instant Access Saver"
+    versions = [
+        account(1, "K1", name, "10", "2024-02-01", state="ACTIVE", activation="2023-05-01"),
+        account(1, "K1", name, "9", "2024-02-01", state="CLOSED", activation="2023-04-01"),
+        account(1, "K1", name, "8", "2024-02-01", state="CLOSED", activation="2023-06-01"),
+    ]
+    found = []
+    for rows_in_order in (versions, versions[::-1]):
+        tables = {
+            "clients": clients,
+            "deposit_accounts": frame(spark, ACCOUNT, *rows_in_order).coalesce(1),
+            "deposit_transactions": frame(spark, MOVE, move(1, 1, "DEPOSIT", "1", "2024-01-05")),
+            "recurring_transfers": frame(
+                spark, "dynamodb_new_image_target_account_id_s string, dynamodb_new_image_is_active_bool boolean, dynamodb_new_image_updated_at_n bigint"
+            ),
+        }
+        (row,) = savings.savings_accounts(tables, dt.date(2024, 3, 15)).collect()
+        found.append(row.asDict())
+    assert found[0] == found[1]
+    assert found[0]["ias_account_state"] == "CLOSED" and found[0]["ias_open_date"] == dt.date(2023, 4, 1)
+
+
 def test_term_deposits(spark, clients):
     exclusive = "GBP Fixed Deposit Account Exclusive"
     product = {
