@@ -52,6 +52,25 @@ def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def join_files(spark: SparkSession, parts: Iterable[str], path: str, buffer: int = 1 << 20) -> None:
+    """The bytes of the parts, one after another, as a new file that appears whole; one buffer is held at a time."""
+    fs, target = file_system(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{spark._jvm.java.util.UUID.randomUUID()}")
+    out = fs.create(hidden, False)
+    try:
+        for part in parts:
+            part_fs, part_path = file_system(spark, part)
+            stream = part_fs.open(part_path)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, buffer, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    if not fs.rename(hidden, target):
+        raise OSError(f"could not put {path} in its place")
+
+
 def names_in(spark: SparkSession, folder: str) -> list[str]:
     """Names directly in a folder, hidden ones left out; none when the folder is missing."""
     fs, jvm_path = file_system(spark, folder)

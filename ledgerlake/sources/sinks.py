@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.conform import cast_null_columns, keep_columns
 from ledgerlake.operators.setops import union_evolving
 from ledgerlake.session import fresh_path
+from ledgerlake.sources.files import delete, file_system, join_files, names_in
 
 log = logging.getLogger(__name__)
 
@@ -122,32 +123,37 @@ def write_report_csv(
     df: DataFrame,
     path: str,
     order_by: Sequence[str] = (),
-    single_file_bytes: int = 128 * 1024 * 1024,
+    single_file_bytes: int | None = None,
 ) -> dict[str, object]:
-    """Headed CSV extract. One file when the result is small, headed part files when it is not.
+    """Headed CSV extract as one file, ``<path>/part-00000.csv``.
 
-    The report is computed in parallel to a staging table first; its size decides.
+    The report is computed in parallel to a staging table, then its parts are written in parallel, in order and
+    without headers, and joined as a stream behind one header: neither a task nor the driver holds the report. A
+    report larger than ``single_file_bytes`` stays headed part files, for readers that take a folder.
     """
     spark = df.sparkSession
     staging = fresh_path(spark, "report")
     rows = land(df, staging, "overwrite", partition_by=())["rows"]
-    size = folder_bytes(spark, staging)
     staged = spark.read.schema(df.schema).parquet(staging)
     ordered = staged.orderBy(*order_by) if order_by else staged
-    single = size <= single_file_bytes
-    out = ordered.coalesce(1) if single else ordered
-    out.write.mode("overwrite").option("header", True).csv(path)
-    return {"path": path, "rows": rows, "single_file": single}
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+    if single_file_bytes is not None and folder_bytes(spark, staging) > single_file_bytes:
+        ordered.write.mode("overwrite").option("header", True).csv(path)
+        return {"path": path, "rows": rows, "single_file": False}
+    parts, head = f"{staging}-parts", f"{staging}-head"
+    ordered.write.option("header", False).csv(parts)
+    # the names as one row, quoted as the writer does
+    places = ", ".join(f"_{i} string" for i in range(len(df.columns)))
+    spark.createDataFrame([tuple(df.columns)], places).coalesce(1).write.option("header", False).csv(head)
+    delete(spark, path)
+    join_files(spark, [f"{folder}/{name}" for folder in (head, parts) for name in names_in(spark, folder)], f"{path}/part-00000.csv")
+    for folder in (staging, parts, head):
+        delete(spark, folder)
+    return {"path": path, "rows": rows, "single_file": True}
 
 
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     """Rename within one file system; the target folder is made when missing."""
-    fs, src = _file_system(spark, source)
+    fs, src = file_system(spark, source)
     dst = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
@@ -156,7 +162,7 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
 
 def name_single_file(spark: SparkSession, folder: str, target: str) -> None:
     """Give the only part file of a report folder its hand-off name."""
-    fs, _ = _file_system(spark, folder)
+    fs, _ = file_system(spark, folder)
     glob = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
     parts = [s.getPath().toString() for s in fs.globStatus(glob)]
     if len(parts) != 1:

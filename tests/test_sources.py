@@ -217,6 +217,22 @@ def test_large_report_stays_parallel(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "big")).count() == 1000
 
 
+def test_report_of_many_parts_is_one_ordered_file(spark, tmp_path):
+    """More rows than a part file takes: joined in order behind one header, with nothing else in the folder."""
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "100")
+    try:
+        df = spark.range(0, 5000, 1, 16).select(F.col("id").alias("an id"), F.concat(F.lit('x, "'), "id").alias("b"), F.lit(None).cast("string").alias("c"))
+        result = sinks.write_report_csv(df.orderBy(F.rand(1)), str(tmp_path / "r"), ["an id"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert result["single_file"] and result["rows"] == 5000
+    assert sorted(p.name for p in (tmp_path / "r").iterdir() if not p.name.startswith(".")) == ["part-00000.csv"]
+    lines = (tmp_path / "r" / "part-00000.csv").read_text().splitlines()
+    assert lines[0] == "an id,b,c" and lines[1:] == [f'{i},"x, \\"{i}",' for i in range(5000)]
+    sinks.write_report_csv(df.limit(0), str(tmp_path / "r"), ["an id"])
+    assert (tmp_path / "r" / "part-00000.csv").read_text() == "an id,b,c\n"
+
+
 def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, date string")
