@@ -5,9 +5,9 @@ from __future__ import annotations
 import csv
 import datetime as dt
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,31 +90,43 @@ def detect_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     )
 
 
+# how Python calls the encodings whose lines end at one byte
+_CODECS = {"UTF-8": "utf-8", "windows-1252": "cp1252", "ISO-8859-1": "latin1"}
+
+
 def read_csv_any_encoding(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Headed CSV files of mixed encodings as one frame; one scan per encoding found."""
-    found = detect_encodings(spark, path).groupBy("encoding").agg(F.collect_list("path").alias("paths"))
-    parts = []
-    for row in found.orderBy("encoding").toLocalIterator():
-        cp1252 = row["encoding"] == "windows-1252"
-        reader = spark.read.option("header", True)
-        reader = reader.option("encoding", "ISO-8859-1" if cp1252 else row["encoding"])
-        if row["encoding"] == "UTF-16":
-            reader = reader.option("multiLine", True)
-        part = reader.csv(row["paths"])
-        part = part.toDF(*[c.lstrip("\ufeff") for c in part.columns])
-        if cp1252:
-            # the CSV reader has no windows-1252; map the 27 differing characters afterwards
-            part = part.select(
-                *[
-                    F.translate(F.col(f"`{c}`"), _LATIN1_CHARS, _CP1252_CHARS).alias(
-                        c.translate(str.maketrans(_LATIN1_CHARS, _CP1252_CHARS))
-                    )
-                    for c in part.columns
-                ]
-            )
-        parts.append(part)
-    if not parts:
+    """Headed CSV files of mixed encodings as one frame.
+
+    One scan takes the bytes of all files but UTF-16 ones as they are, by position, and decodes each cell by its
+    file's encoding. UTF-16 cannot be split at lines; its files are read whole, each by one task.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("_metadata.file_path").alias("url"))
+    kinds = materialize(files.join(detect_encodings(spark, path).withColumnRenamed("path", "url"), "url"), "encodings")
+    found = {r["path"]: (r["url"], r["encoding"]) for r in kinds.toLocalIterator()}
+    if not found:
         raise FileNotFoundError(f"no files under {path}")
+    parts = []
+    plain = [p for p, (_, encoding) in found.items() if encoding in _CODECS]
+    rows = []
+    for name, line in each_file(plain, lambda p: first_line(spark, p)):
+        url, encoding = found[name]
+        text = None if line is None else line.decode(_CODECS[encoding])
+        if text and text.strip():
+            rows.append((url, name, header_names(text), encoding))
+    if rows:
+        heads = materialize(spark.createDataFrame(rows, "url string, source_path string, header array<string>, encoding string"), "headers")
+        reader = spark.read.option("encoding", "ISO-8859-1")
+        kind = F.col("encoding")
+
+        def decoded(cell: Column) -> Column:
+            utf8 = F.decode(F.encode(cell, "ISO-8859-1"), "UTF-8")
+            return F.when(kind == "UTF-8", utf8).when(kind == "windows-1252", F.translate(cell, _LATIN1_CHARS, _CP1252_CHARS)).otherwise(cell)
+
+        parts.append(_by_position(reader, path, heads, decoded).drop("source_path"))
+    wide = [p for p, (_, encoding) in found.items() if encoding == "UTF-16"]
+    if wide:
+        part = spark.read.option("header", True).option("encoding", "UTF-16").option("multiLine", True).csv(wide)
+        parts.append(part.toDF(*[c.lstrip("\ufeff") for c in part.columns]))
     return union_evolving(parts)
 
 
@@ -157,8 +169,8 @@ def backlog_of(
     return found.filter(F.datediff(F.lit(today), F.col("file_date")) <= days)
 
 
-def first_line(spark: SparkSession, path: str, step: int = 1 << 14) -> str | None:
-    """The first line of a text file; only its bytes are read, and some behind."""
+def first_line(spark: SparkSession, path: str, step: int = 1 << 14) -> bytes | None:
+    """The first line of a text file, without a UTF-8 mark; only its bytes are read, and some behind."""
     data = b""
     while b"\n" not in data and b"\r" not in data:
         more = read_bytes(spark, path, len(data), step)
@@ -167,7 +179,7 @@ def first_line(spark: SparkSession, path: str, step: int = 1 << 14) -> str | Non
         data += more
         step *= 2
     found = data.removeprefix(b"\xef\xbb\xbf").splitlines()
-    return found[0].decode(errors="replace") if found else None
+    return found[0] if found else None
 
 
 def header_names(line: str) -> list[str]:
@@ -183,10 +195,26 @@ def tree_headers(spark: SparkSession, base: str) -> DataFrame:
     files = spark.read.format("binaryFile").options(**options).load(base).where("length > 0")
     urls = {r["path"]: r["url"] for r in files.select("path", F.col("_metadata.file_path").alias("url")).toLocalIterator()}
     heads = each_file(urls, lambda path: first_line(spark, path))
-    rows = [(urls[path], path, header_names(line)) for path, line in heads if line is not None and line.strip()]
+    rows = [(urls[path], path, header_names(line.decode(errors="replace"))) for path, line in heads if line and line.strip()]
     return spark.createDataFrame(rows, "url string, source_path string, header array<string>")
 
 
+def _by_position(reader, path: str | Sequence[str], heads: DataFrame, decoded: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """One scan of headed CSV files whose headers (url, source_path, header) differ, as text columns by name."""
+    widest = heads.agg(F.max(F.size("header"))).first()[0]
+    found = heads.select(F.explode("header").alias("name")).groupBy(F.lower("name")).agg(F.min("name").alias("name"))
+    names = [r["name"] for r in found.orderBy("name").select("name").toLocalIterator()]
+    place = lambda name: F.array_position(F.transform("header", F.lower), F.lit(name.lower())).cast("int") - 1
+    more = [c for c in heads.columns if c != "header"]
+    heads = heads.select(*more, F.array(*(place(n) for n in names)).alias("places"))
+    by_place = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(widest)])
+    scan = reader.schema(by_place).option("header", True).csv(path)
+    scan = scan.select(F.array(*(f"_{i}" for i in range(widest))).alias("cells"), F.col("_metadata.file_path").alias("url"))
+    rows = scan.join(heads, "url")
+    cell = lambda i: F.when(F.col("places")[i] >= 0, decoded(F.get("cells", F.col("places")[i])))
+    return rows.select(*(cell(i).alias(n) for i, n in enumerate(names)), "source_path")
+
+
 def read_csv_tree(spark: SparkSession, base: str) -> DataFrame:
     """Every ``.csv`` below a folder as text columns plus ``source_path``; files may differ in header.
 
@@ -194,24 +222,9 @@ def read_csv_tree(spark: SparkSession, base: str) -> DataFrame:
     columns from where its file's header has them.
     """
     heads = materialize(tree_headers(spark, base), "headers")
-    widest = heads.agg(F.max(F.size("header"))).first()[0]
-    if not widest:
+    if heads.isEmpty():
         raise FileNotFoundError(f"no .csv files under {base}")
-    found = heads.select(F.explode("header").alias("name")).groupBy(F.lower("name")).agg(F.min("name").alias("name"))
-    names = [r["name"] for r in found.orderBy("name").select("name").toLocalIterator()]
-    place = lambda name: F.array_position(F.transform("header", F.lower), F.lit(name.lower())).cast("int") - 1
-    heads = heads.select("url", "source_path", F.array(*(place(n) for n in names)).alias("places"))
-    by_place = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(widest)])
-    scan = (
-        spark.read.schema(by_place)
-        .option("header", True)
-        .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
-        .csv(base)
-        .select(F.array(*(f"_{i}" for i in range(widest))).alias("cells"), F.col("_metadata.file_path").alias("url"))
-    )
-    rows = scan.join(heads, "url")
-    cell = lambda i: F.when(F.col("places")[i] >= 0, F.get("cells", F.col("places")[i]))
-    return rows.select(*(cell(i).alias(n) for i, n in enumerate(names)), "source_path")
+    return _by_position(spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.csv"), base, heads)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -35,6 +35,21 @@ def test_encodings_are_told_apart(spark, tmp_path):
     assert ("1", "\x81é") in rows(got, "id", "name")
 
 
+def test_encodings_are_read_in_one_scan(spark, tmp_path):
+    """Headers and cells of several encodings, columns in any order; UTF-16 alone is read apart."""
+    put(tmp_path / "u8.csv", "näme,id\nżółć €,1\n\"a, ü\",2\n".encode())
+    put(tmp_path / "sig.csv", "id,näme\n3,ß\n".encode("utf-8-sig"))
+    put(tmp_path / "cp.csv", "id,näme,more\n4,“€”,ž\n5,,\n".encode("cp1252"))
+    put(tmp_path / "l1.csv", "id,näme\n6,\x81é\n".encode("latin1"))
+    put(tmp_path / "wide.csv", "id,näme\n7,Ǆ中\n".encode("utf-16"))
+    got = readers.read_csv_any_encoding(spark, str(tmp_path))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got, "id", "näme", "more") == sorted(
+        [("1", "żółć €", None), ("2", "a, ü", None), ("3", "ß", None), ("4", "“€”", "ž"), ("5", None, None), ("6", "\x81é", None), ("7", "Ǆ中", None)], key=repr
+    )
+    assert text.count("FileScan csv") == 2
+
+
 def test_archives_zip_gzip_and_plain(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("one.csv", 'id,name\n1,"a, b"\n2,\n3,x,too many\n')
@@ -193,7 +208,7 @@ def test_only_the_first_bytes_of_a_file_are_read(spark, tmp_path, monkeypatch):
     read = []
     plain = readers.read_bytes
     monkeypatch.setattr(readers, "read_bytes", lambda s, p, start, n: read.append(n) or plain(s, p, start, n))
-    assert readers.first_line(spark, str(tmp_path / "big.csv")) == "id,v" and sum(read) <= 1 << 15
+    assert readers.first_line(spark, str(tmp_path / "big.csv")) == b"id,v" and sum(read) <= 1 << 15
 
 
 def test_sql_text_with_parameters(spark, tmp_path):
