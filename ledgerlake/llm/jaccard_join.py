@@ -50,7 +50,7 @@ class Settings:
 
     shingle: int = 4
     percent: int = 85
-    bucket: int = 1 << 20
+    bucket: int = 1 << 21
     batch: int = 1 << 20
     hot: int = 32
     block: int = 250_000
@@ -474,8 +474,9 @@ def classes(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
         raise RuntimeError("different sets have one name under every seed")
     total = nodes.agg(F.sum("size").alias("n")).first()["n"] or 0
     bits = max(0, math.ceil(math.log2(total / settings.bucket))) if total else 0
-    found = shared(entries(documents, bits, settings, seed), bits, settings)
-    kept = scratch.write("kept", candidates(found, nodes.select("node", "size"), bits, settings))
+    several = shared(entries(documents, bits, settings, seed), bits, settings)
+    kept = scratch.write("kept", candidates(several, nodes.select("node", "size"), bits, settings))
+    del several
     scratch.drop()  # the shuffles of the entries are read
     found = components(links_of(kept, scratch, settings))
 

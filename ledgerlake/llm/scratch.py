@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,4 +30,5 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         gc.collect()
+        time.sleep(2)  # frames that Python no longer has are let go in the background
         jvm.System.gc()
