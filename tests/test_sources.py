@@ -287,3 +287,15 @@ def test_json_lines_keep_microseconds(spark, tmp_path):
 def test_files_of_one_array(spark, tmp_path):
     put(tmp_path / "a.json", b'[\n {"a": 1},\n {"a": 2}\n]')
     assert rows(readers.read_json_array(spark, str(tmp_path)).select(F.col("a").cast("int"))) == [(1,), (2,)]
+
+
+def test_a_write_by_partition_does_not_sort_what_a_task_holds(spark, tmp_path, monkeypatch):
+    """More values than files at once come out whole, and the session's own setting is as before."""
+    during, save = [], sinks._save
+    monkeypatch.setattr(sinks, "_save", lambda *given: (during.append(int(spark.conf.get(sinks._OPEN_FILES))), save(*given)))
+    data = spark.range(500).selectExpr("id", "if(id % 5 = 0, null, id % 50) AS part")
+    before = spark.conf.get(sinks._OPEN_FILES)
+    sinks.land(data.coalesce(1), str(tmp_path / "t"), "overwrite_partitions", ("part",))
+    assert during == [sinks.OPEN_FILES] and spark.conf.get(sinks._OPEN_FILES) == before
+    back = spark.read.schema("id long, part long").parquet(str(tmp_path / "t"))
+    assert rows(back) == rows(data)
