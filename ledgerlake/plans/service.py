@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import iso_ts
-from ledgerlake.operators.conform import VALUATION_FIELDS
+from ledgerlake.operators.conform import VALUATION_FIELDS, cast_null_columns
 from ledgerlake.plans.customers import Tables
+from ledgerlake.session import materialize
 
 # Names the reports select by.
 COMPLAINT = "Complaint"
@@ -137,13 +138,23 @@ def complaint_milestones(tables: Tables) -> DataFrame:
     )
 
 
-def survey_responses(tables: Tables, survey: str, english: bool = False) -> DataFrame:
-    """Responses to one survey. Needs ``survey_responses``, ``survey_takers``, ``surveys``, ``survey_questions``."""
-    wanted = tables["surveys"].filter(F.col("name") == survey).select(F.col("id").alias("survey__c"))
-    takers = tables["survey_takers"].join(wanted, "survey__c", "left_semi")
-    takers = _pick(takers, {"survey_taker__c": "id", "survey_response": "name"})
+def survey_answers(tables: Tables, surveys: Iterable[str]) -> DataFrame:
+    """Responses to the surveys with the name of their survey (``answered_survey``), for all of them in one pass.
+
+    Needs ``survey_responses``, ``survey_takers``, ``surveys``, ``survey_questions``.
+    """
+    wanted = tables["surveys"].filter(F.col("name").isin(*surveys))
+    takers = _pick(tables["survey_takers"], {"survey__c": "survey__c", "survey_taker__c": "id", "survey_response": "name"})
+    # surveys may repeat; a taker counts once for each name that its survey has
+    takers = takers.join(_pick(wanted, {"survey__c": "id", "answered_survey": "name"}).distinct(), "survey__c").drop("survey__c")
     questions = _pick(tables["survey_questions"], {"survey_question__c": "id", "question": "name"})
-    joined = tables["survey_responses"].join(takers, "survey_taker__c").join(questions, "survey_question__c")
+    return tables["survey_responses"].join(takers, "survey_taker__c").join(questions, "survey_question__c")
+
+
+def survey_responses(tables: Tables, survey: str, english: bool = False) -> DataFrame:
+    """Responses to one survey. Needs ``survey_answers``, or the tables that it is made of."""
+    given = tables.get("survey_answers")
+    joined = survey_answers(tables, [survey]) if given is None else given.filter(F.col("answered_survey") == survey)
     columns = {
         "survey_response": "survey_response",
         "response_id": "name",
@@ -214,13 +225,42 @@ CONSUMER_DUTY = {
 }
 
 
+# What the survey reports read of the answers.
+ANSWER_COLUMNS = (
+    "answered_survey",
+    "survey_response",
+    "name",
+    "question_type__c",
+    "question",
+    "response__c",
+    "response_english_text",
+    "response_numeric__c",
+    "createddate",
+)
+
+
 def consumer_duty_config(tables: Tables) -> dict[str, dict[str, object]]:
-    """Publishing configuration of the consumer-duty reports; see ``jobs.publish``."""
+    """Publishing configuration of the consumer-duty reports; see ``jobs.publish``.
+
+    The three survey reports share one join of the answers, written by the first of them that is asked for. A report
+    that is asked for again, or over other tables, has it written anew.
+    """
+    shared: dict[str, object] = {}
+
+    def given_answers(report, given: Tables) -> Tables:
+        sources = [given[n] for n in ("survey_responses", "survey_takers", "surveys", "survey_questions")]
+        if not shared or report in shared["served"] or any(a is not b for a, b in zip(sources, shared["sources"])):
+            answers = survey_answers(given, SURVEYS.values()).select(*ANSWER_COLUMNS)
+            shared.update(sources=sources, served=set(), answers=materialize(cast_null_columns(answers), "answers"))
+        shared["served"].add(report)
+        return {**given, "survey_answers": shared["answers"]}
+
+    surveys = (onboarding_survey, general_enquiry_survey, recent_experience_survey)
     config = {}
     for name, (report, types) in CONSUMER_DUTY.items():
         columns = report(tables).columns
         config[name] = {
-            "query": lambda spark, given, report=report: report(given),
+            "query": lambda spark, given, report=report: report(given_answers(report, given) if report in surveys else given),
             "catalog": {
                 c: {"type": types.get(c, "string"), "comment": f"{c.replace('_', ' ').capitalize()}"} for c in columns
             },

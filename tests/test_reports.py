@@ -348,3 +348,46 @@ def test_calls_need_a_parsable_creation_time(spark):
     blank = [None] * (len(service.CALL_COLUMNS) - 1)
     contacts = frame(spark, schema, ("p1", *blank, "2023-06-16 00:00:00.001"), ("p2", *blank, "2023-06-16 00:00:00.000"), ("p3", *blank, "soon"))
     assert rows(service.outbound_calls({"contacts": contacts}), "id") == [("p1",)]
+
+
+def test_survey_reports_share_one_join_of_the_answers(spark, tmp_path, monkeypatch):
+    """Repeated and null keys, a survey id with two names; each report as when it stands alone."""
+    from ledgerlake.plans import jobs
+
+    tables = {
+        "cases": frame(
+            spark,
+            "id long, case_rt_dev_name__c string, case_number string, casenumber string, type string, status string, origin string, priority string, "
+            "owner_id long, contact_id long, subject string, complaint_status__c string, response_status__c string, redress_paid__c string, "
+            "redress_amount__c string, complaint_root_cause__c string, createddate timestamp",
+        ),
+        "users": frame(spark, "id long, name string"),
+        "contacts": frame(spark, "id long, name string"),
+        "case_milestones": frame(spark, "case_id long, milestone_type_id long, target_date timestamp, completion_date timestamp"),
+        "milestone_types": frame(spark, "id long, name string"),
+        "account_history": frame(spark, "field string, old_value string, new_value string, account_id long, createddate timestamp"),
+        "accounts": frame(spark, "id long, name string"),
+        "surveys": frame(
+            spark, "id long, name string", *enumerate(service.SURVEYS.values()), (0, "Onboarding Survey"), (1, "Onboarding Survey"),
+            (None, "Onboarding Survey"), (3, "Other"),
+        ),
+        "survey_takers": frame(spark, "id long, name string, survey__c long", *((i % 9, f"T{i}", i % 5 if i % 7 else None) for i in range(30)), (None, "n", 0)),
+        "survey_questions": frame(spark, "id long, name string", (1, "one"), (2, "two"), (2, "two again"), (None, "none")),
+        "survey_responses": frame(
+            spark,
+            "survey_taker__c long, question_type__c string, name string, response__c string, response_english_text string, "
+            "survey_question__c long, response_numeric__c double, createddate timestamp",
+            *((i % 11 if i % 6 else None, "q", f"R{i // 2}", "x", "y", i % 4, float(i), T(2024, 1, 1)) for i in range(60)),
+        ),
+    }
+    written, materialize = [], service.materialize
+    monkeypatch.setattr(service, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    config = service.consumer_duty_config(tables)
+    for turn in (1, 2):
+        found = jobs.publish(spark, config, str(tmp_path / str(turn)), dt.date(2024, 3, 9), **tables)
+        assert all(x["written"] for x in found.values()) and len(written) == turn  # one join a run
+        for name in ("onboarding_survey", "general_enquiry_survey", "recent_experience_survey"):
+            alone = service.CONSUMER_DUTY[name][0](tables)
+            assert alone.count() > 0
+            back = spark.read.schema(alone.schema).parquet(str(tmp_path / str(turn) / name))
+            assert rows(back, *alone.columns) == rows(alone)

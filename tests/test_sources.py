@@ -299,3 +299,14 @@ def test_a_write_by_partition_does_not_sort_what_a_task_holds(spark, tmp_path, m
     assert during == [sinks.OPEN_FILES] and spark.conf.get(sinks._OPEN_FILES) == before
     back = spark.read.schema("id long, part long").parquet(str(tmp_path / "t"))
     assert rows(back) == rows(data)
+
+
+def test_constant_partitions_are_not_moved(spark, tmp_path):
+    data = spark.range(0, 100, 1, 4).selectExpr("id", "'2024-03-09' AS date")
+    moved = sinks.dealt(data, ["date"])._jdf.queryExecution().optimizedPlan().toString()
+    still = sinks.dealt(data, ["date"], ["date"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" in moved and "Rebalance" not in still
+    config = {"d": {"query": "SELECT * FROM {t}", "catalog": {"id": {"type": "bigint"}}}}
+    found = jobs.publish(spark, config, str(tmp_path), dt.date(2024, 3, 9), t=data.drop("date"))
+    assert found["d"]["rows"] == 100
+    assert len(list((tmp_path / "d" / "date=2024-03-09").glob("part-*.parquet"))) == 4  # as the rows lay
