@@ -1,10 +1,10 @@
 """How far the word use of each source is from the other sources of its language, and from the language itself.
 
-1. A `CountVectorizer` with a minimal document frequency and the largest vocabulary size makes an exact sparse vector
-   of every document. A term carries its language in front, so one fit keeps a vocabulary for each language, however
-   many languages there are. The vocabulary of one fit is held by the driver and sent to the tasks. Where it may have
-   more than `block_terms` terms, the kept ones are counted, and terms are fitted and applied in blocks of about that
-   many.
+1. Terms below the minimal document frequency are dropped, and a `CountVectorizer` over the kept ones makes exact
+   sparse vectors of every document, one for the terms that it has once, one for those that it has twice and so on. A
+   term carries its language in front, so one fit keeps a vocabulary for each language, however many languages there
+   are. The vocabulary of one fit is held by the driver and sent to the tasks. Where there are more than `block_terms`
+   kept terms, they are fitted and applied in blocks of about that many.
 2. The vectors are summed by source over their entries, not as dense rows, so no sum is as wide as the vocabulary.
 3. Two sources are compared over the terms that both have. Terms that one or none of them has come from the histogram
    of counts and from the size of the vocabulary.
@@ -36,6 +36,7 @@ _IS_LETTER = np.array([chr(c).isalpha() if c < 128 else True for c in range(256)
 _RANGE = 16  # indices of a range: 2^16
 _MASK = (1 << _RANGE) - 1
 _HELD = 1 << 22  # entries a task adds up at once
+_GROUPS = 256  # rows that the kept terms of a block come to the fit in
 COUNTS = "lang string, source string, term string, count long"
 
 
@@ -51,10 +52,10 @@ class Settings:
 
 
 def tokens(documents: DataFrame) -> DataFrame:
-    """lang, source, distinct terms and their counts of every document, each term behind its language and a blank.
+    """lang, source and the distinct terms of every document by their count, each term behind its language and a blank.
 
-    No term has a blank, so language and term can be told apart. Terms are cut from the bytes of a few documents at a
-    time, as Arrow arrays.
+    `groups` has a row for each count, with the terms that the document has so often. No term has a blank, so language
+    and term can be told apart. Terms are cut from the bytes of a few documents at a time, as Arrow arrays.
     """
 
     def packed(held: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
@@ -68,14 +69,17 @@ def tokens(documents: DataFrame) -> DataFrame:
         owner = np.repeat(np.arange(len(held)), np.diff(bounds))
         words = pc.binary_join_element_wise(pa.array([x[0] for x in held]).take(pa.array(owner)), words, " ")
         found = [words.slice(a, b - a).value_counts() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-        widths = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32))
-        columns = [
-            pa.array([x[0] for x in held]),
-            pa.array([x[1] for x in held]),
-            pa.ListArray.from_arrays(widths, pa.concat_arrays([x.field("values") for x in found])),
-            pa.ListArray.from_arrays(widths, pa.concat_arrays([x.field("counts") for x in found]).cast(pa.int32())),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "single", "counts"])
+        counts = pa.concat_arrays([x.field("counts") for x in found]).to_numpy()
+        doc = np.repeat(np.arange(len(held)), [len(x) for x in found])
+        order = np.lexsort((counts, doc))
+        counts, doc = counts[order], doc[order]
+        cuts = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(counts, prepend=-1) != 0))
+        values = pa.concat_arrays([x.field("values") for x in found]).take(pa.array(order))
+        terms = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(doc)).astype(np.int32)), values)
+        groups = pa.StructArray.from_arrays([pa.array(counts[cuts].astype(np.int32)), terms], ["count", "terms"])
+        widths = pa.array(np.searchsorted(doc[cuts], np.arange(len(held) + 1)).astype(np.int32))
+        columns = [pa.array([x[0] for x in held]), pa.array([x[1] for x in held]), pa.ListArray.from_arrays(widths, groups)]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "groups"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -89,29 +93,34 @@ def tokens(documents: DataFrame) -> DataFrame:
             yield packed(held)
 
     plain = (F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text"))
-    kinds = "lang string, source string, single array<string>, counts array<int>"
+    kinds = "lang string, source string, groups array<struct<count: int, terms: array<string>>>"
     return documents.select(*plain).mapInArrow(run, kinds)
 
 
-def block_counts(held: DataFrame, settings: Settings) -> DataFrame:
-    """Counts by source of the kept terms of one vocabulary (columns source, term, count)."""
-    # the vocabulary depends on documents, not on repeats in one; a fit that keeps no term at all would fail
-    seen = held.select(F.col("single").alias("terms"))
-    never = held.sparkSession.range(settings.min_docs).select(F.array(F.lit(" ")))
-    fitted = CountVectorizer(
-        inputCol="terms", outputCol="vector", minDF=settings.min_docs, minTF=1, vocabSize=2**31 - 1
-    ).fit(seen.union(never))
-    path = fresh_path(held.sparkSession, "vocabulary")
+def kept_terms(held: DataFrame, settings: Settings) -> DataFrame:
+    """Terms of at least `min_docs` documents (column term): the vocabulary depends on documents, not on repeats in one."""
+    each = held.select(F.explode(F.flatten("groups.terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return each.where(F.col("n") >= settings.min_docs).select("term")
+
+
+def block_counts(lists: DataFrame, kept: DataFrame) -> DataFrame:
+    """Counts by source of the kept terms of one block (columns source, term, count).
+
+    `lists`: source, count and the terms that a document has so often, each of its terms once.
+    """
+    # the documents of each term are counted by now, so the fit sees a term once; it takes all of them
+    seen = kept.groupBy(F.pmod(F.xxhash64("term"), F.lit(_GROUPS)).alias("part")).agg(F.collect_list("term").alias("terms"))
+    fitted = CountVectorizer(inputCol="terms", outputCol="vector", minDF=1, minTF=1, vocabSize=2**31 - 1).fit(seen)
+    path = fresh_path(lists.sparkSession, "vocabulary")
     fitted.save(path)  # read back as a table, so that the terms are not sent one by one from the driver
-    vocabulary = held.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
+    vocabulary = lists.sparkSession.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "term"))
     vector = F.unwrap_udt("vector")
-    terms = F.flatten(F.zip_with("single", "counts", F.array_repeat)).alias("terms")
-    entries = fitted.transform(held.select("source", terms)).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+    entries = fitted.transform(lists).select("source", "count", vector["indices"].alias("indices"))
     return group_sums(entries).join(vocabulary, "index").select("source", "term", "count")
 
 
 def group_sums(entries: DataFrame) -> DataFrame:
-    """Sum of the sparse vectors (columns indices and values) of each source: source, index, count.
+    """Sum of the sparse vectors (indices of one value, columns indices and count) of each source: source, index, count.
 
     A task adds up what it holds of a source, and sends it in ranges of indices; a range is added up in one array of
     fixed length, so no sum is as wide as the vocabulary.
@@ -149,7 +158,7 @@ def group_sums(entries: DataFrame) -> DataFrame:
             lists = batch.column("indices")
             keys = np.repeat(which << 32, np.diff(lists.offsets.to_numpy())) | lists.flatten().to_numpy().astype(np.int64)
             if len(keys):
-                held.append((keys, batch.column("values").flatten().to_numpy().astype(np.int64)))
+                held.append((keys, np.repeat(batch.column("count").to_numpy().astype(np.int64), np.diff(lists.offsets.to_numpy()))))
                 n += len(keys)
             if n >= _HELD:
                 held = [added(held)]
@@ -178,20 +187,19 @@ def group_sums(entries: DataFrame) -> DataFrame:
 def term_counts(held: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
     """How often each source has each kept term that it has."""
     spark = held.sparkSession
-    # terms of at least min_docs documents are at most this many; count them only where that does not fit a block
-    kept = (held.agg(F.sum(F.size("single"))).first()[0] or 0) // settings.min_docs
-    if kept > settings.block_terms:
-        each = held.select(F.explode("single").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-        kept = each.where(F.col("n") >= settings.min_docs).count()
-    blocks = -(-kept // settings.block_terms)
+    kept = scratch.write("kept", kept_terms(held, settings))
+    blocks = -(-kept.count() // settings.block_terms)
     counts = spark.createDataFrame([], COUNTS)
+    lists = held.select("source", F.inline("groups"))
     for block in range(blocks):
-        part = held
+        part, mine = lists, kept
         if blocks > 1:
-            mine = F.filter(F.arrays_zip("single", "counts"), lambda t: F.pmod(F.xxhash64(t["single"]), F.lit(blocks)) == block)
-            part = held.select("lang", "source", mine.alias("mine"))
-            part = part.select("lang", "source", F.col("mine.single").alias("single"), F.col("mine.counts").alias("counts"))
-        found = block_counts(part, settings)
+            of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)) == block
+            part = lists.select("source", "count", F.filter("terms", of).alias("terms"))
+            mine = kept.where(of(F.col("term")))
+            if mine.isEmpty():
+                continue
+        found = block_counts(part, mine)
         lang = F.regexp_extract("term", r"(?s)^(.*) [^ ]+$", 1)
         found = found.select(lang.alias("lang"), "source", F.substring_index("term", " ", -1).alias("term"), "count")
         counts = counts.union(scratch.write("counts", found))

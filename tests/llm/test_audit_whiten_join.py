@@ -69,6 +69,16 @@ def test_divergence_against_brute_force(spark, block_terms):
     assert [f.dataType.simpleString() for f in found.schema] == ["string"] * 4 + ["bigint", "int"]
 
 
+def test_divergence_looks_up_a_term_of_a_document_once(spark):
+    """Whatever its count, a term is in one list of its document, beside the terms of the same count."""
+    texts = ["b a b c a b", "", "one", "x " * 1000 + "y y z", None]
+    docs = spark.createDataFrame([("d e", str(i), t) for i, t in enumerate(texts)], "lang string, source string, text string")
+    found = {int(r.source): {g["count"]: sorted(g.terms) for g in r.groups} for r in divergence.tokens(docs).collect()}
+    assert found == {
+        0: {3: ["d e b"], 2: ["d e a"], 1: ["d e c"]}, 1: {}, 2: {1: ["d e one"]}, 3: {1000: ["d e x"], 2: ["d e y"], 1: ["d e z"]}, 4: {}
+    }
+
+
 def test_divergence_without_kept_terms_or_rows(spark):
     rows = [("en", "a", "one"), ("en", "b", "two"), ("de", "a", None), (None, None, "")]
     docs = spark.createDataFrame(rows, "lang string, source string, text string")
