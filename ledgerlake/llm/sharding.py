@@ -58,15 +58,14 @@ def propagate(linked: DataFrame, quota: dict[int, int], settings: Settings) -> D
     most = max(quota.values())
     for turn in range(settings.rounds):
         held = linked.groupBy("text_key", "shard").agg(F.count(F.lit(1)).alias("n"))
-        held = materialize(held, "held")
+        sizes = held.groupBy("text_key").agg(F.sum("n").alias("group_rows"))
+        held = materialize(held.join(sizes, "text_key").withColumn("oversized", F.col("group_rows") > most), "sized")
         load = defaultdict(int, {r.shard: r.n for r in held.groupBy("shard").agg(F.sum("n").alias("n")).collect()})
         # of a group that no shard can hold, rows stay where the group fills half a shard, and the others ask
         # for a shard with room; ties between neighbours' shards go by a hash, to spread them
         settled = F.col("oversized") & (F.col("n") * 2 >= most)
         full = [s for s, q in quota.items() if load[s] >= q]
         has_room = ~F.col("shard").isin(full) if full else F.lit(True)
-        sizes = held.groupBy("text_key").agg(F.sum("n").alias("group_rows"))
-        held = materialize(held.join(sizes, "text_key").withColumn("oversized", F.col("group_rows") > most), "sized")
         rank = F.struct((~settled & (has_room | ~F.col("oversized"))).alias("open"), "n", F.xxhash64("text_key", "shard").alias("tie"))
         asked = held.groupBy("text_key", "group_rows", "oversized").agg(
             F.max_by("shard", rank).alias("target"),
@@ -103,9 +102,8 @@ def propagate(linked: DataFrame, quota: dict[int, int], settings: Settings) -> D
             "text_key", "target", F.when(F.col("oversized"), F.col("part")).otherwise(F.lit(1.0)).alias("part")
         )
         strongholds = held.where(settled).select("text_key", "shard", F.lit(True).alias("stays"))
-        accepted = materialize(accepted, "accepted")
+        # both are filters of written tables, so the join can split a large group as it stands
         # at most two groups fill half a shard each: 2 * shards rows
-        strongholds = materialize(strongholds, "strongholds")
         goes = F.col("target").isNotNull() & F.col("stays").isNull() & (chance("seed") < F.col("part"))
         linked = linked.join(accepted, "text_key", "left").join(F.broadcast(strongholds), ["text_key", "shard"], "left").select(
             "text_key", "seed", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")

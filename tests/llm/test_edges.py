@@ -517,3 +517,11 @@ def test_row_keys_are_checked(spark):
     docs = frame(spark, [(1, "a"), (1, "b"), (None, "a"), (1, None), (None, None), (1, "a")])
     weak = lambda seed, *parts: F.when(seed == 0, F.lit(0)).otherwise(F.xxhash64(seed, *parts))
     assert docs.select(corpus_pipeline._row_key(docs, weak)).distinct().count() == 5
+
+
+def test_sharding_writes_three_tables_a_round(spark, monkeypatch):
+    written, materialize = [], sharding.materialize
+    monkeypatch.setattr(sharding, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    linked = spark.range(40).selectExpr("concat('t', id div 4) AS text_key", "id AS seed", "CAST(id % 2 AS int) AS shard")
+    moved = sharding.propagate(linked, {0: 20, 1: 20}, sharding.Settings(shards=2, rounds=1))
+    assert written == ["sized", "asked", "moved"] and moved.count() == 40
