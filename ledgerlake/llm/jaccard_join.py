@@ -443,7 +443,8 @@ def links_of(nodes: DataFrame, scratch: Scratch, settings: Settings) -> DataFram
     chosen = chosen.select("*", every).where("other <> block").withColumn("block", F.col("other")).select(*placed.columns)
     links = scratch.write("links", search_inside(placed.union(chosen), settings))
     # what is not connected to the largest class of its family asks in the other blocks
-    classes = components(links).select("node", F.col("root").alias("class"))
+    classes = scratch.write("classes", components(links).select("node", F.col("root").alias("class")))
+    links = classes.where("node <> class").select(F.col("node").alias("u"), F.col("class").alias("v"))  # not searched again
     large = large.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     large = scratch.write("large", large)
     counts = large.groupBy("root", "class").agg(F.count(F.lit(1)).alias("n"))

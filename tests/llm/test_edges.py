@@ -197,6 +197,22 @@ def test_components_of_long_chains(spark):
     assert {found[2000 + i] for i in range(51)} == {2000}
 
 
+@pytest.mark.parametrize("kind, of", [("bigint", int), ("string", "n{:03d}".format)])
+def test_components_take_no_round_where_links_fit_a_task(spark, monkeypatch, kind, of):
+    from ledgerlake.llm import components as module
+
+    plain, written = module.materialize, []
+    monkeypatch.setattr(module, "materialize", lambda df, name: written.append(name) or plain(df, name))
+    edges = [(of(i + 1), of(i)) for i in range(200)] + [(of(i), of(i + 1)) for i in range(200)] + [(of(900), None), (of(7), of(7))]
+    links = spark.createDataFrame(edges, f"u {kind}, v {kind}").repartition(3)
+    expected = sorted((of(i), of(0)) for i in range(201))
+    assert sorted((r.node, r.root) for r in components(links).collect()) == expected
+    assert not {"large-star", "small-star"} & set(written)
+    monkeypatch.setattr(module, "_HELD", 9)  # the rounds do the same
+    assert sorted((r.node, r.root) for r in components(links).collect()) == expected
+    assert {"large-star", "small-star"} < set(written)
+
+
 ITEMS = [(1, words(30, 3)), (2, "short item"), (3, None), (4, "..."), (None, words(12, 4)), (5, words(30, 3)), (6, "Ünïcode Wörter")]
 
 
