@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
+from ledgerlake.llm.scratch import Scratch
 from ledgerlake.session import materialize
 
 U64 = np.uint64
@@ -132,33 +133,40 @@ def forward(weights: Weights, around: np.ndarray, target: np.ndarray, settings:
     total = np.einsum("nkd,kd->nd", near, weights["places"])
     total += weights["hidden"]
     hidden = np.tanh(np.ascontiguousarray(total.T))
-    group, inside = target // settings.groups, target % settings.groups
+    every = np.arange(len(target))
+    group = target // settings.groups
+    inside = target - group * settings.groups
     first = _softmax(weights["group"].T @ hidden + weights["group_bias"][:, None])
-    gate = weights["gate"][group].T
+    # products with the groups' marks pick each target's column without jumps in memory
+    is_group = np.zeros((settings.groups, len(target)), np.float32)
+    is_group[group, every] = 1
+    gate = weights["gate"].T @ is_group
     gated = hidden * gate
-    second = _softmax(weights["inside"].T @ gated + weights["inside_bias"][group].T)
-    every = np.arange(len(target))
-    return near, hidden, gate, gated, first, second, group, inside, first[group, every], second[inside, every]
+    logits = weights["inside"].T @ gated
+    logits += weights["inside_bias"].T @ is_group
+    second = _softmax(logits)
+    return near, hidden, gate, gated, first, second, group, inside, is_group, first[group, every], second[inside, every]
 
 
 def _sums_of_inputs(around: np.ndarray, rows: np.ndarray, places: np.ndarray, inputs: int) -> np.ndarray:
     """Gradient of every input's vector: the rows (one for each dimension) by the inputs around, weighted by place."""
-    index = around.ravel()
-    return np.stack([np.bincount(index, (row[:, None] * place).ravel(), inputs) for row, place in zip(rows, places.T)], axis=1)
+    index = around.T.ravel().astype(np.intp)  # place by place, so that a product runs along a whole row
+    out = np.empty((len(rows), inputs))
+    for sums, row, place in zip(out, rows, places.T):
+        sums[:] = np.bincount(index, (place[:, None] * row).ravel(), inputs)
+    return out.T
 
 
 def train_step(weights: Weights, past: Weights, around: np.ndarray, target: np.ndarray, settings: Settings) -> None:
     """One step of gradient descent, each weight's rate divided by the root of its past squares."""
     n = np.float32(len(target))
-    near, hidden, gate, gated, first, second, group, inside, _, _ = forward(weights, around, target, settings)
+    near, hidden, gate, gated, first, second, group, inside, is_group, _, _ = forward(weights, around, target, settings)
     every = np.arange(len(target))
     first[group, every] -= 1
     second[inside, every] -= 1
     d_gated = weights["inside"] @ second
     d_hidden = weights["group"] @ first + d_gated * gate
     d_total = d_hidden * (1 - hidden * hidden)
-    is_group = np.zeros((settings.groups, len(target)), np.float32)
-    is_group[group, every] = 1
 
     def move(name: str, gradient: np.ndarray, at=slice(None)) -> None:
         gradient = gradient / n
@@ -175,7 +183,7 @@ def train_step(weights: Weights, past: Weights, around: np.ndarray, target: np.n
     move("gate", (is_group @ (d_gated * hidden).T)[gates], gates)
     move("places", d_places)
     move("hidden", d_total.sum(axis=1))
-    move("words", d_words.astype(np.float32))
+    move("words", d_words.astype(np.float32, order="C"))
 
 
 def neighbours(inputs: np.ndarray, settings: Settings, n_words: np.ndarray | None = None) -> np.ndarray:
@@ -193,12 +201,18 @@ def are_targets(n_words: np.ndarray, turn: int, settings: Settings) -> np.ndarra
     return (np.arange(int(n_words.sum())) - starts - np.repeat(n_words, n_words) - turn) % settings.masked == 0
 
 
+def _places(at: pa.BinaryScalar, n_words: np.ndarray) -> np.ndarray:
+    """Places among a chunk's words, from 2 or 4 bytes a word of the texts."""
+    held = at.as_buffer()
+    return np.frombuffer(held, np.uint16 if held.size == 2 * n_words.sum() else np.uint32)
+
+
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashes of the words of each chunk, and its texts' numbers of words."""
     for batch in batches:
         for k in range(batch.num_rows):
-            n_words, words, at = (batch.column(c)[k].values.to_numpy() for c in ("n_words", "words", "at"))
-            yield words.view(U64)[at], n_words
+            n_words, words = (batch.column(c)[k].values.to_numpy() for c in ("n_words", "words"))
+            yield words.view(U64)[_places(batch.column("at")[k], n_words)], n_words
 
 
 def _trained(held: DataFrame, start: np.ndarray, turn: int, settings: Settings) -> np.ndarray:
@@ -314,14 +328,15 @@ def words_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame
                 "n_words": ([len(x) for x in hashes], pa.int64()),
                 "words": (words.view(np.int64), pa.int64()),
                 "counts": (counts, pa.int64()),
-                "at": (at.astype(np.int32), pa.int32()),
             }
             ids, hashes, held = [], [], 0
             arrays = []
             for found, sort in columns.values():
                 flat_values = found if isinstance(found, pa.Array) else pa.array(found, sort)
                 arrays.append(pa.ListArray.from_arrays(pa.array([0, len(flat_values)], pa.int32()), flat_values))
-            return pa.RecordBatch.from_arrays(arrays, list(columns))
+            # bytes: Spark passes them on whole, a list it encodes value by value
+            arrays.append(pa.array([at.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32).tobytes()], pa.binary()))
+            return pa.RecordBatch.from_arrays(arrays, [*columns, "at"])
 
         for batch in batches:
             texts = batch.column("text")
@@ -334,9 +349,9 @@ def words_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame
         if ids:
             yield chunk()
 
-    shape = f"ids array<{kind}>, n_words array<long>, words array<long>, counts array<long>, at array<int>"
+    shape = f"ids array<{kind}>, n_words array<long>, words array<long>, counts array<long>, at binary"
     chunks = documents.select("doc_id", "text").mapInArrow(run, shape)
-    return materialize(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    return Scratch(documents.sparkSession).write("chunks", chunks.withColumn("chunk", F.monotonically_increasing_id()))
 
 
 def with_scores(held: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
@@ -389,7 +404,7 @@ def score_words(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, n_words, scores, at, found = (batch.column(c)[k].values for c in ("ids", "n_words", "scores", "at", "found"))
+                ids, n_words, scores, found = (batch.column(c)[k].values for c in ("ids", "n_words", "scores", "found"))
                 n_words = n_words.to_numpy()
                 total = scores.to_numpy()
                 if found is not None and len(found):
@@ -398,7 +413,7 @@ def score_words(
                     order = np.argsort(words)
                     logs = np.log(np.maximum(counts, 1) / sent.value[classes_of(words, settings)])[order]
                     which = np.repeat(np.arange(len(n_words)), n_words)
-                    total = total + np.bincount(which, logs[at.to_numpy()], len(n_words))
+                    total = total + np.bincount(which, logs[_places(batch.column("at")[k], n_words)], len(n_words))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_words", "score"])
 
     asked = (chunks if held is None else held).select("chunk", F.explode("words").alias("word"))

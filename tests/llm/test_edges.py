@@ -197,6 +197,17 @@ def test_components_of_long_chains(spark):
     assert {found[2000 + i] for i in range(51)} == {2000}
 
 
+@pytest.mark.parametrize("distinct, width", [(0, 2), (1 << 16, 2), ((1 << 16) + 1, 4)])
+def test_chunks_hold_places_as_bytes(spark, distinct, width):
+    texts = [None, " ".join(f"w{i}" for i in range(distinct)), "", " ".join(f"w{i}" for i in range(0, distinct, 7))]
+    held = lm_scoring.words_of(frame(spark, list(enumerate(texts))).coalesce(1))
+    assert dict(held.dtypes)["at"] == "binary"
+    ((hashes, n_words),) = lm_scoring._held(held.toArrow().to_batches())
+    found = [lm_scoring.word_hashes(x) for x in texts]
+    assert hashes.tolist() == [h for x in found for h in x.tolist()] and sorted(n_words) == sorted(map(len, found))
+    assert len(held.first()["at"]) == width * len(hashes)
+
+
 @pytest.mark.parametrize("kind, of", [("bigint", int), ("string", "n{:03d}".format)])
 def test_components_take_no_round_where_links_fit_a_task(spark, monkeypatch, kind, of):
     from ledgerlake.llm import components as module
