@@ -10,7 +10,20 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import decontaminate, exact_dedup, language_id, near_dedup, packing
 from ledgerlake.llm.queries import tokenizer_file
-from ledgerlake.session import materialize
+from ledgerlake.session import bounded_batches, materialize
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    """The stage with bounded Arrow batches, so that a task's memory does not follow the length of 10,000 texts."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -18,6 +31,16 @@ def _carried(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"], docs["text"])
 
 
+def _beside_text(docs: DataFrame) -> DataFrame:
+    """As `_carried`, for operators that pass rows through Python: the text stands there once."""
+    return docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"), docs["text"])
+
+
+def _rows_of(found: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns again as they were in front of `_beside_text`."""
+    return found.select(*(found["text"] if c == "text" else found["row"].getField(c).alias(c) for c in columns))
+
+
 def _only(keyed: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys (null matches null) are among the kept; of rows alike in all keys one stays."""
     counts = materialize(kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")), "kept-keys")
@@ -42,12 +65,14 @@ def _row_key(docs: DataFrame, hashed: Callable[..., Column] = F.xxhash64) -> Col
     raise RuntimeError("different documents have one key under every seed")
 
 
+@_in_small_batches
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter go."""
-    seen = language_id.predict(_carried(docs), language_id.fit(docs), ("row",))
-    return seen.where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+    seen = language_id.predict(_beside_text(docs), language_id.fit(docs), ("row", "text"))
+    return _rows_of(seen.where(F.col("lang_pred") != language_id.UNKNOWN), docs.columns)
 
 
+@_in_small_batches
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the smallest id."""
     kept = exact_dedup.exact_groups(docs).where("kept").select("doc_id", "text_sha256")
@@ -55,6 +80,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _only(_carried(docs).withColumn("text_sha256", digest), kept, ["doc_id", "text_sha256"])
 
 
+@_in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, that with the smallest id.
 
@@ -68,13 +94,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _only(keyed, ids.join(kept, "key", "left_semi"), ["key"])
 
 
+@_in_small_batches
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.matches(_carried(docs), benchmark, keep=("row",))
-    return found.where(F.size("hit_spans") == 0).select("row.*")
+    found = decontaminate.matches(_beside_text(docs), benchmark, keep=("row", "text"))
+    return _rows_of(found.where(F.size("hit_spans") == 0), docs.columns)
 
 
+@_in_small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their sequence and offset."""
     return packing.pack(docs, tokenizer_file())

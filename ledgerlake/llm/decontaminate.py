@@ -117,6 +117,18 @@ def _blocks(benchmark: DataFrame, settings: Settings) -> Iterator[dict[bytes, li
         yield found
 
 
+def _together(batches: Iterator[pa.RecordBatch], rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batches joined until they have as many rows or bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= rows or sum(x.nbytes for x in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def matches(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns with n_words, hit_spans (characters of the original text, words in it) and item ids.
 
@@ -128,16 +140,17 @@ def matches(documents: DataFrame, benchmark: DataFrame, settings: Settings = Set
     schema = schema.add("items", T.ArrayType(T.StringType()))
     # several blocks are several automata over one reading of the texts
     sent = [context.broadcast(block) for block in _blocks(benchmark, settings)]
+    read = "text" if "text" in keep else "_text"  # a text that is kept travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(sent) <= 1:
             first = build(sent[0].value) if sent else None
-        for batch in batches:
-            # an automaton takes some 4 kB a window, so several are built anew for each slice of rows
-            step = 256 if len(sent) <= 1 else 8192
+        # an automaton takes some 4 kB a window, so several are built anew for each slice of rows
+        step = 256 if len(sent) <= 1 else 8192
+        for batch in batches if len(sent) <= 1 else _together(batches, step, 1 << 26):
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                texts = part.column("_text").to_pylist()
+                texts = part.column(read).to_pylist()
                 results = [None] * len(texts)
                 for block in sent or [None]:
                     automaton = first if len(sent) <= 1 else build(block.value)
@@ -164,7 +177,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, settings: Settings = Set
                     [part.column(c) for c in keep] + tail.columns, [*keep, *_OUT.names]
                 )
 
-    return documents.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return documents.select(*keep, *([] if read in keep else [F.col("text").alias(read)])).mapInArrow(run, schema)
 
 
 def report(documents: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -125,11 +125,12 @@ def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple
     names = list(prototypes)
     matrix = np.array([prototypes[x] for x in names], np.float32)
     sent = documents.sparkSession.sparkContext.broadcast(matrix)
+    read = "text" if "text" in keep else "_text"  # a text that is kept travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for (text,) in W.rows([batch], "_text"):
+            for (text,) in W.rows([batch], read):
                 vector = profile(text, sent.value.shape[1]) if names else None
                 near = sent.value @ vector if vector is not None else np.zeros(1)
                 best = int(near.argmax())
@@ -139,7 +140,7 @@ def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
     schema = T.StructType([documents.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double")
-    return documents.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return documents.select(*keep, *([] if read in keep else [F.col("text").alias(read)])).mapInArrow(run, schema)
 
 
 def identify(documents: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:

@@ -6,6 +6,7 @@ import html
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -517,6 +518,39 @@ def test_pipeline_stages(spark, twice, tmp_path):
         assert stage(spark, texts.where("false"), str(tmp_path)).count() == 0
 
 
+def test_pipeline_sends_texts_once_and_in_small_batches(spark, tmp_path, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame(spark, [(i, words(40, i) + " x" * 25_000) for i in range(400)]).repartition(1)
+    given = []
+    for module, name in ((language_id, "predict"), (decontaminate, "matches")):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda d, *a, plain=plain, **b: (given.append(d), plain(d, *a, **b))[1])
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"doc_id": [batch.nbytes]})
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        stage(spark, docs, str(tmp_path))
+        assert max(r.doc_id for r in docs.mapInArrow(sizes, "doc_id long").collect()) < 5 << 20
+    assert [d.columns for d in given] == [["row", "text"]] * 2
+    assert not any("text" in d.schema["row"].dataType.names for d in given)
+    # a size of the session's own stays
+    spark.conf.set(key, "8m")
+    corpus_pipeline.pack_sequences(spark, docs, "")
+    assert spark.conf.get(key) == "8m"
+    spark.conf.unset(key)
+
+
+def test_batches_are_joined_for_several_automata():
+    parts = [pa.RecordBatch.from_pydict({"x": ["ab"] * n}) for n in (3, 2, 4, 1)]
+    assert [b.num_rows for b in decontaminate._together(iter(parts), 5, 1 << 20)] == [5, 5]
+    assert [b.num_rows for b in decontaminate._together(iter(parts), 99, 1)] == [3, 2, 4, 1]
+    assert list(decontaminate._together(iter(()), 5, 1)) == []
+
+
 def test_pipeline_stages_tell_rows_apart(spark):
     """Rows without an id, and different texts of one id, through both stages of copies."""
     rows = [(None, words(40, 100 + i)) for i in range(6)]
