@@ -13,7 +13,8 @@ their weights after every `send_after` words; Spark adds them up, weighted by wo
 round's start. Only weights and the totals of the classes, whose number the settings fix, come to the driver.
 
 The vocabulary is a Spark table that grows with the corpus. Texts are dealt into chunks; a chunk asks for each of its
-words once, so a common word costs one row a chunk. Words are known by 64-bit hashes.
+words once, so a common word costs one row a chunk. Words are known by 64-bit hashes. A task holds one chunk at a time,
+however many it has: the answers to a chunk come as sorted rows, not as one list, and Arrow batches are bounded.
 
 Defined results: a null text or one without a word has n_words 0, score 0 and a null mean. At the edges the missing
 neighbours are one special word. Without any text the weights stay as they were drawn. Repeated documents count
@@ -32,11 +33,13 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import words as W
 from ledgerlake.llm.scratch import Scratch
-from ledgerlake.session import materialize
+from ledgerlake.session import bounded_batches, materialize
 
 U64 = np.uint64
 PLACES = (-2, -1, 1, 2)
 _PART = 1024  # weights sent in one row
+#: Chunks in one file of their table: Parquet's writer holds up to 100 rows of any size, its reader a file's rows at once.
+_CHUNKS_A_FILE = 8
 
 
 @dataclass(frozen=True)
@@ -314,6 +317,7 @@ def words_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame
     `at` has the place of every word of the chunk's texts among its words, which are in unsigned order. Texts are read
     and hashed here only; training and scoring go on from the chunks.
     """
+    bounded_batches(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,14 +354,19 @@ def words_of(documents: DataFrame, settings: Settings = Settings()) -> DataFrame
             yield chunk()
 
     shape = f"ids array<{kind}>, n_words array<long>, words array<long>, counts array<long>, at binary"
-    chunks = documents.select("doc_id", "text").mapInArrow(run, shape)
-    return Scratch(documents.sparkSession).write("chunks", chunks.withColumn("chunk", F.monotonically_increasing_id()))
+    chunks = documents.select("doc_id", "text").mapInArrow(run, shape).withColumn("chunk", F.monotonically_increasing_id())
+    return Scratch(documents.sparkSession).write("chunks", chunks, maxRecordsPerFile=_CHUNKS_A_FILE)
 
 
-def with_scores(held: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
-    """Chunks with `scores`, the log-probability of the classes of every document's words."""
+def with_scores(
+    held: DataFrame, values: np.ndarray, settings: Settings = Settings(), columns: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Chunks with `scores`, the log-probability of the classes of every document's words.
+
+    `columns`: those of the chunks that come back; without it all.
+    """
     sent = held.sparkSession.sparkContext.broadcast(values)
-    columns = held.columns
+    columns = tuple(held.columns) if columns is None else columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights: Weights = {}
@@ -369,10 +378,11 @@ def with_scores(held: DataFrame, values: np.ndarray, settings: Settings = Settin
                 logs = _log_probabilities(hashes, n_words, weights, settings)
                 sums = np.bincount(np.repeat(np.arange(len(n_words)), n_words), logs, len(n_words))
                 scores = pa.ListArray.from_arrays(pa.array([0, len(sums)], pa.int32()), pa.array(sums, pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, scores], [*columns, "scores"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), scores], [*columns, "scores"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema)
-    return held.mapInArrow(run, f"{fields}, scores array<double>")
+    fields = ", ".join(f"{c} {held.schema[c].dataType.simpleString()}" for c in columns)
+    read = dict.fromkeys((*columns, "n_words", "words", "at"))
+    return held.select(*read).mapInArrow(run, f"{fields}, scores array<double>")
 
 
 def chunked(documents: DataFrame, values: np.ndarray, settings: Settings = Settings()) -> DataFrame:
@@ -386,6 +396,32 @@ def vocabulary(chunks: DataFrame) -> DataFrame:
     return materialize(each.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")), "vocabulary")
 
 
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, pa.Scalar], np.ndarray, np.ndarray]]:
+    """Each chunk's row, the words it asked for and their counts, from rows in order of the chunk.
+
+    A chunk's rows may go on over batches; one, without a word, holds the chunk.
+    """
+    now, row, words, counts = None, None, [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for batch in batches:
+        chunk = batch.column("chunk").to_numpy()
+        asked = batch.column("word").is_valid().to_numpy(zero_copy_only=False)
+        found = [batch.column(c).fill_null(0).to_numpy() for c in ("word", "n")]
+        edges = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(chunk)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if a == b:
+                continue
+            if row is not None and chunk[a] != now:
+                yield row, np.concatenate(words), np.concatenate(counts)
+                row, words, counts = None, words[:1], counts[:1]
+            now, own = chunk[a], asked[a:b]
+            for k in a + np.flatnonzero(~own):
+                row = {c: batch.column(c)[k] for c in ("ids", "n_words", "scores", "at")}
+            for held, values in zip((words, counts), found):
+                held.append(values[a:b][own])
+    if row is not None:
+        yield row, np.concatenate(words), np.concatenate(counts)
+
+
 def score_words(
     chunks: DataFrame, vocabulary: DataFrame, settings: Settings = Settings(), held: DataFrame | None = None
 ) -> DataFrame:
@@ -402,23 +438,24 @@ def score_words(
     kind = chunks.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                ids, n_words, scores, found = (batch.column(c)[k].values for c in ("ids", "n_words", "scores", "found"))
-                n_words = n_words.to_numpy()
-                total = scores.to_numpy()
-                if found is not None and len(found):
-                    words = found.field("word").to_numpy().view(U64)
-                    counts = found.field("n").to_numpy()
-                    order = np.argsort(words)
-                    logs = np.log(np.maximum(counts, 1) / sent.value[classes_of(words, settings)])[order]
-                    which = np.repeat(np.arange(len(n_words)), n_words)
-                    total = total + np.bincount(which, logs[_places(batch.column("at")[k], n_words)], len(n_words))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_words", "score"])
+        for row, words, counts in _answered(batches):
+            n_words = row["n_words"].values.to_numpy()
+            total = row["scores"].values.to_numpy()
+            if len(words):
+                words = words.view(U64)
+                order = np.argsort(words)
+                logs = np.log(np.maximum(counts, 1) / sent.value[classes_of(words, settings)])[order]
+                which = np.repeat(np.arange(len(n_words)), n_words)
+                total = total + np.bincount(which, logs[_places(row["at"], n_words)], len(n_words))
+            yield pa.RecordBatch.from_arrays(
+                [row["ids"].values, pa.array(n_words, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_words", "score"]
+            )
 
     asked = (chunks if held is None else held).select("chunk", F.explode("words").alias("word"))
-    known = asked.join(vocabulary.hint("merge"), "word", "left").select("chunk", F.struct("word", F.coalesce("n", F.lit(0)).alias("n")).alias("x"))
-    found = known.groupBy("chunk").agg(F.collect_list("x").alias("found"))
-    joined = chunks.drop("words", "counts").hint("merge").join(found, "chunk", "left")
-    scored = joined.select("ids", "n_words", "scores", "at", "found").mapInArrow(run, f"doc_id {kind}, n_words long, score double")
+    known = asked.join(vocabulary.hint("merge"), "word", "left").select("chunk", "word", F.coalesce("n", F.lit(0)).alias("n"))
+    whole = chunks.select("chunk", F.struct("ids", "n_words", "scores", "at").alias("row"))
+    dealt = whole.unionByName(known, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk")
+    # Arrow's lists are slow at rows of null: each looks at all before it
+    lists = (F.coalesce(f"row.{c}", F.array().cast(chunks.schema[c].dataType)).alias(c) for c in ("ids", "n_words", "scores"))
+    scored = dealt.select("chunk", "word", "n", *lists, "row.at").mapInArrow(run, f"doc_id {kind}, n_words long, score double")
     return scored.withColumn("mean", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")))

@@ -419,6 +419,63 @@ def test_lm_scores_tell_words_of_a_class_apart(spark, docs):
     assert lm_scoring.score_words(lm_scoring.chunked(docs.where("false"), values), vocabulary).count() == 0
 
 
+def test_lm_answers_follow_their_chunk_over_batches():
+    """A chunk's rows come in any order and over batches; a chunk that asked for nothing stays."""
+    from collections import defaultdict
+
+    rows = [(4, -7, 2), (4, None, None), (4, 9, 0), (6, None, None), (8, 1, 1), (8, -1, 5), (8, 3, 1), (8, None, None)]
+    kinds = {"chunk": pa.int64(), "word": pa.int64(), "n": pa.int64(), "ids": pa.list_(pa.int64()), "n_words": pa.list_(pa.int64())}
+    kinds |= {"scores": pa.list_(pa.float64()), "at": pa.binary()}
+    held = [(c, w, n, *(([], [], [], None) if w is not None else ([c], [0], [0.0], b"%d" % c))) for c, w, n in rows]
+    expected = defaultdict(list)
+    for c, w, n in rows:
+        expected[c] += [(w, n)] if w is not None else []
+    for size in (1, 2, 3, 5, 8):
+        parts = [held[at : at + size] for at in range(0, len(held), size)] + [[]]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], kind) for i, kind in enumerate(kinds.values())], [*kinds]) for part in parts]
+        found = [(row["ids"].as_py(), row["at"].as_py(), [*zip(words.tolist(), counts.tolist())]) for row, words, counts in lm_scoring._answered(iter(batches))]
+        assert found == [([c], b"%d" % c, expected[c]) for c in (4, 6, 8)]
+    assert not [*lm_scoring._answered(iter(batches[-1:]))]
+
+
+def test_lm_scoring_holds_few_chunks_at_a_time(spark):
+    """Chunks of one task lie in files of a few, Arrow batches are bounded, and no list gathers the answers of a chunk."""
+    from math import log
+
+    import numpy as np
+
+    limits = {"spark.sql.execution.arrow.maxBytesPerBatch": None, "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    try:
+        texts = [(i, " ".join(f"w{i * 3 + k}" for k in range(i % 40))) for i in range(300)] + [(300, None), (None, "w1 unseen")]
+        settings = lm_scoring.Settings(groups=4, chunk_words=200)
+        held = lm_scoring.words_of(frame(spark, texts).coalesce(1), settings)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m"
+        files = [r.n for r in held.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+        assert sum(files) > 3 * lm_scoring._CHUNKS_A_FILE and max(files) <= lm_scoring._CHUNKS_A_FILE
+        values = lm_scoring.flat(lm_scoring.drawn(settings), settings).astype(float)
+        chunks = lm_scoring.with_scores(held, values, settings, columns=("chunk", "ids", "n_words", "at"))
+        assert chunks.columns == ["chunk", "ids", "n_words", "at", "scores"]
+        scored = lm_scoring.score_words(chunks, lm_scoring.vocabulary(held), settings, held)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan and "MapInArrow" in plan
+        rows = {r.doc_id: r for r in scored.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    hashes = {i: lm_scoring.word_hashes(text) for i, text in texts}
+    known, counts = np.unique(np.concatenate([*hashes.values()]), return_counts=True)
+    of = lm_scoring.classes_of(known, settings)
+    share = {int(h): log(n / (counts[of == c].sum() + 1)) for h, n, c in zip(known, counts, of)}
+    weights = lm_scoring.unflat(values, settings)
+    assert len(rows) == len(texts)
+    for i, text in texts:
+        expected = float(lm_scoring.log_probabilities(text, weights, settings).sum()) + sum(share[int(h)] for h in hashes[i])
+        assert rows[i].n_words == len(hashes[i]) and rows[i].score == pytest.approx(expected, rel=1e-4)
+
+
 def test_every_word_is_a_target_once():
     settings = lm_scoring.Settings()
     for n in range(40):
